@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from . import training
+from . import league, training
+from .base import QUERIES as _QUERIES
+from .base import SQL as _SQL
 
-FLAGSHIP = "p3_counts"
-QUERIES = {**training.QUERIES}
-SQL = {**training.SQL}
+FLAGSHIP = "match_listing"
+QUERIES = {**training.QUERIES, **_QUERIES}
+SQL = {**training.SQL, **_SQL}
+
+__all__ = ["FLAGSHIP", "QUERIES", "SQL", "league"]
