@@ -315,9 +315,9 @@ def leaked_items(
                 yield frame(_search_shard(its, ids, held, min_words, min_share, min_seeds))
 
         def frame(got: list[tuple]) -> pd.DataFrame:
-            return pd.DataFrame(
-                {"doc_id": [g[0] for g in got], "item_id": [g[1] for g in got], "share": [g[2] for g in got], "spans": [[{"from": a, "to": z} for a, z in g[3]] for g in got]}
-            ).astype({"doc_id": "int64", "item_id": "int64", "share": "float64"})
+            # Object columns throughout: an empty shard's columns have no type of their own.
+            rows = [(d, i, share, [{"from": a, "to": z} for a, z in spans]) for d, i, share, spans in got]
+            return pd.DataFrame(rows, columns=["doc_id", "item_id", "share", "spans"], dtype=object)
 
         one = docs.mapInPandas(scan, kind)
         found = one if found is None else found.union(one)
