@@ -109,7 +109,7 @@ def heatmap(tracks: DataFrame, keys: list[str], game: Game = PUSHBACK, bins: int
     def cell(c: str) -> Column:
         return F.least(F.floor(F.col(c) * bins / size), F.lit(bins - 1)).cast("int")
 
-    n = tracks.where(on).groupBy(*keys, cell("x_in").alias("bx"), cell("y_in").alias("by")).agg(F.count("*").alias("n"))
+    n = tracks.where(on).groupBy(*keys, cell("x_in").alias("bin_x"), cell("y_in").alias("bin_y")).agg(F.count("*").alias("n"))
     return n.withColumn("density", F.col("n") / F.max("n").over(Window.partitionBy(*keys)))
 
 

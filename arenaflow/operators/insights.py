@@ -9,6 +9,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import materialize
+
 WIN_FEATURES = ["speed_mean", "frac_offensive_half", "frac_near_loader", "frac_near_goal", "auton_dist", "robots_parked_endgame"]
 STYLE_FEATURES = ["speed_mean", "speed_p90", "range_x", "range_y", "frac_offensive_half", "frac_near_loader", "frac_near_goal", "endgame_in_own_park", "auton_dist"]
 
@@ -26,6 +28,7 @@ def _assembled(df: DataFrame, features: list[str]) -> DataFrame:
 def win_conditions(alliances: DataFrame, features: list[str] = WIN_FEATURES, least: int = 30) -> DataFrame:
     """(feature, coef, abs_coef, accuracy), the strongest first: logistic regression of won with a ridge of 1 over all decided rows. Raises below `least` rows."""
     rows = alliances.where("won IS NOT NULL").select(*features, F.col("won").cast("double").alias("label")).na.drop()
+    rows = materialize(rows, "decided")  # read several times below
     n = rows.count()
     if n < least:
         raise ValueError(f"{n} decided rows; at least {least} are needed")
@@ -38,9 +41,9 @@ def win_conditions(alliances: DataFrame, features: list[str] = WIN_FEATURES, lea
 
 def playstyle_clusters(robots: DataFrame, k: int = 5, tries: int = 10, seed: int = 7, features: list[str] = STYLE_FEATURES) -> DataFrame:
     """robots with cluster: k-means over standardized features, the cheapest of `tries` starts. Rows with a null feature are left out."""
-    rows = robots.na.drop(subset=features)
+    rows = materialize(robots.na.drop(subset=features), "styles")  # read once a pass below
     kept = rows.withColumns({f"raw_{f}": F.col(f) for f in features})
-    data = _assembled(standardized(kept, features), features).cache()
+    data = _assembled(standardized(kept, features), features)
     best = min((KMeans(k=k, seed=seed + i, featuresCol="vector", predictionCol="cluster").fit(data) for i in range(tries)), key=lambda m: m.summary.trainingCost)
     return best.transform(data).withColumns({f: F.col(f"raw_{f}") for f in features}).drop("vector", *[f"raw_{f}" for f in features])
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import league, training
+from . import analysis, league, training
 from .base import QUERIES as _QUERIES
 from .base import SQL as _SQL
 
-FLAGSHIP = "match_listing"
+FLAGSHIP = "match_features"
 QUERIES = {**training.QUERIES, **_QUERIES}
 SQL = {**training.SQL, **_SQL}
 
-__all__ = ["FLAGSHIP", "QUERIES", "SQL", "league"]
+__all__ = ["FLAGSHIP", "QUERIES", "SQL", "analysis", "league"]

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_DDL = {
+#: Columns and types per table.
+SCHEMAS = {
     "events": "id bigint, sku string, name string, season string, start_date string",
     "videos": "id string, event_id bigint, source_id string, division string, path string, title string, duration_s double, fps double, width int, height int",
     "matches": "id bigint, event_id bigint, video_id string, name string, re_match_id bigint, red1 string, red2 string, blue1 string, blue2 string, video_start_ts double, video_auton_end_ts double, video_end_ts double, red_score int, blue_score int, ocr_red_score int, ocr_blue_score int, breakdown string, quality double, notes string",
@@ -16,15 +17,16 @@ _DDL = {
     "zone_states": "match_id bigint, t double, zone string, red_blocks int, blue_blocks int",
     "team_robots": "event_id bigint, team string, archetype string, archetype_conf double",
 }
-SCHEMAS = {name: T.StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
 #: Tables of an export.
 EXPORTED = ("events", "matches", "score_timeline", "robot_tracks", "zone_states", "team_robots")
-OFFICIAL = T.StructType.fromDDL("id bigint, round int, instance int, matchnum int, alliances array<struct<color: string, score: int, teams: array<struct<team: struct<name: string>>>>>")
+OFFICIAL = (
+    "id bigint, round int, instance int, matchnum int, alliances array<struct<color: string, score: int, teams: array<struct<team: struct<name: string>>>>>"
+)
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
     """df with exactly the table's columns and types; a missing column is null."""
-    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in SCHEMAS[name]])
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(SCHEMAS[name])])
 
 
 def open_store(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -62,7 +64,7 @@ def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
 
 def read_official(spark: SparkSession, path: str) -> DataFrame:
     """Official records landed as JSON pages: {"data": [...]} a file."""
-    page = T.StructType([T.StructField("data", T.ArrayType(OFFICIAL))])
+    page = T.StructType([T.StructField("data", T.ArrayType(T.StructType.fromDDL(OFFICIAL)))])
     return spark.read.option("multiLine", True).schema(page).json(path).select(F.inline("data"))
 
 
