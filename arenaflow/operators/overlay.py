@@ -52,11 +52,12 @@ def samples(dets: DataFrame) -> DataFrame:
     """One sample per frame, from boxes whose region is timer, label or panel: first valid timer and label, last phase; teams and scores only when both alliance headers show."""
     text, region = F.col("text"), F.col("region")
     red, blue = (region == "panel") & text.rlike(r"(?i)RED\s*ALLIANCE"), (region == "panel") & text.rlike(r"(?i)BLUE\s*ALLIANCE")
-    secs, label, phase = ps.timer(text), ps.match_label(text), ps.phase(text)
+    # Each pattern is tried only on the texts of its region.
+    secs, label, phase = F.when(region == "timer", ps.timer(text)), F.when(region == "label", ps.match_label(text)), F.when(region == "timer", ps.phase(text))
     # A text that names both alliances is the red one's.
-    g = dets.groupBy(*FRAME).agg(
-        _first((region == "timer") & secs.isNotNull(), secs).alias("timer"), _last((region == "timer") & phase.isNotNull(), phase).alias("phase_text"),
-        _first((region == "label") & label.isNotNull(), label).alias("match_name"), _last(red, F.col("y0")).alias("ry"), _last(blue & ~red, F.col("y0")).alias("by"),
+    g = dets.withColumns({"secs": secs, "label": label, "phase": phase, "red": red, "blue": blue}).groupBy(*FRAME).agg(
+        _first(F.col("secs").isNotNull(), F.col("secs")).alias("timer"), _last(F.col("phase").isNotNull(), F.col("phase")).alias("phase_text"),
+        _first(F.col("label").isNotNull(), F.col("label")).alias("match_name"), _last(F.col("red"), F.col("y0")).alias("ry"), _last(F.col("blue") & ~F.col("red"), F.col("y0")).alias("by"),
         F.array_sort(F.collect_list(F.when(region == "panel", F.struct("pos", F.trim(text).alias("text"), "y0", (F.col("y1") - F.col("y0")).alias("height"))))).alias("boxes"),
     )
     both = F.col("ry").isNotNull() & F.col("by").isNotNull()
@@ -69,12 +70,14 @@ def samples(dets: DataFrame) -> DataFrame:
         return section
 
     out = g.withColumns({"red_boxes": of("red"), "blue_boxes": of("blue")})
+    # The team rows' heights are a column of their own, else every box would compute them anew.
+    out = out.withColumns({f"{s}_rows": F.transform(F.filter(f"{s}_boxes", lambda b: b["text"].rlike(ps.TEAM)), lambda b: b["y0"]) for s in ("red", "blue")})
 
     def teams(side: str) -> Column:
         return F.transform(F.filter(f"{side}_boxes", lambda b: b["text"].rlike(ps.TEAM)), lambda b: b["text"])
 
     def live(side: str) -> Column:
-        rows = F.transform(F.filter(f"{side}_boxes", lambda b: b["text"].rlike(ps.TEAM)), lambda b: b["y0"])
+        rows = F.col(f"{side}_rows")
         free = F.filter(f"{side}_boxes", lambda b: b["text"].rlike(ps.SCORE) & ~F.exists(rows, lambda y: F.abs(b["y0"] - y) < b["height"] * 1.2))
         best = F.array_max(F.transform(free, lambda b: F.struct(b["height"].alias("height"), b["text"].try_cast("int").alias("value"))))
         return F.when(F.size(rows) > 0, best["value"])
