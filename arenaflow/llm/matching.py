@@ -4,11 +4,13 @@ Every attribute's q-grams are set as bits of a fixed-width vector. Close pairs
 come from multi-index Hamming hashing: vectors within r bits agree exactly on
 at least one of r + 1 disjoint sets of bit positions, so an equi-join on each
 set finds all of them and counting the bits of the exclusive or keeps just
-them. Two such searches run: whole records within one tournament with a wide
-radius, and single alliances across all tournaments with a narrow one, for
-records whose tournament is missing or wrong. Candidates get Dice scores per
-field, a weighted mean of the fields present, and from that a confidence fitted
-on the records that are already matched.
+them. Within one tournament every pair is a candidate. For records whose
+tournament is missing or wrong there are searches across all tournaments: whole
+records of no known tournament with a wide radius, single alliances with a narrow
+one, and equi-joins on agreements of two or three undamaged fields (two teams, a
+team and the name or both scores, the name and both scores). Candidates get Dice
+scores per field, a weighted mean of the fields present, and from that a
+confidence fitted on the records that are already matched.
 """
 
 from __future__ import annotations
@@ -140,15 +142,36 @@ def official_profiles(official: DataFrame) -> DataFrame:
     )
 
 
+def agreement_keys(df: DataFrame, name: str) -> DataFrame:
+    """(name, key): a record's agreements that prove a pair worth scoring whatever its tournament: two teams of their alliances, one team and the match name, one team and both scores, or the name and both scores. What is null gives no key."""
+    teams = [("r", F.col("r1")), ("r", F.col("r2")), ("b", F.col("b1")), ("b", F.col("b2"))]
+
+    def key(kind: str, *parts: Column) -> Column:
+        there = F.lit(True)
+        for p in parts:
+            there = there & p.isNotNull()
+        return F.when(there, F.xxhash64(F.lit(kind), *parts))
+
+    keys = [key("name, scores", F.col("name"), F.col("rs"), F.col("bs"))]
+    for i, (side, team) in enumerate(teams):
+        keys += [key(f"{side}, name", team, F.col("name")), key(f"{side}, scores", team, F.col("rs"), F.col("bs"))]
+        for other, mate in teams[i + 1 :]:
+            both = key(side + other, team, mate)
+            keys.append(F.when(both.isNotNull(), key(side + other, F.least(team, mate), F.greatest(team, mate))) if side == other else both)
+    return df.select(F.col("id").alias(name), F.explode(F.array_distinct(F.array_compact(F.array(*keys)))).alias("key"))
+
+
 def candidates(left: DataFrame, right: DataFrame, wide: int = 12, narrow: int = 2) -> DataFrame:
-    """(lid, rid): whole records within `wide` bits in one tournament (records of no known sku are one more), or an alliance within `narrow` bits anywhere."""
-    at = F.coalesce(F.col("sku"), F.lit("?")).alias("sku")
-    near = hamming_pairs(left.select("id", F.col("all_v").alias("v"), at), right.select("id", F.col("all_v").alias("v"), at), ["sku"], 4, wide)
+    """(lid, rid): every pair of one tournament; of records of no known sku whole records within `wide` bits; and anywhere an alliance within `narrow` bits or a shared agreement key."""
+    same = left.where("sku IS NOT NULL").select(F.col("id").alias("lid"), "sku").join(right.where("sku IS NOT NULL").select(F.col("id").alias("rid"), "sku"), "sku").select("lid", "rid")
+    nowhere = [df.where("sku IS NULL").select("id", F.col("all_v").alias("v"), F.lit("?").alias("sku")) for df in (left, right)]
+    near = hamming_pairs(*nowhere, ["sku"], 4, wide)
+    agree = agreement_keys(left, "lid").join(agreement_keys(right, "rid"), "key").select("lid", "rid")
 
     def alliances(df: DataFrame) -> DataFrame:
         return union_all([df.where(f"{c} IS NOT NULL").select("id", F.col(f"{side}_v").alias("v"), F.lit(side).alias("side")) for side, c in (("red", "coalesce(r1, r2)"), ("blue", "coalesce(b1, b2)"))])
 
-    return near.union(hamming_pairs(alliances(left), alliances(right), ["side"], 2, narrow)).distinct()
+    return union_all([same, near, agree, hamming_pairs(alliances(left), alliances(right), ["side"], 2, narrow)]).distinct()
 
 
 def field_scores(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
@@ -193,17 +216,21 @@ def fit_confidence(wrong: np.ndarray, best: np.ndarray, n_known: int, n_open: in
     """Confidence per score bin. wrong: counts per bin of the best wrong candidate of the n_known records whose partner is known; best: of the best candidate of the n_open others.
 
     A record without a partner shows its best wrong candidate, or none. Wrong
-    candidates are spread as among the known records, so the share of records
-    without any tells how many have no partner, and with it how many wrong ones
-    each bin holds. The share of right ones per bin, made monotone by pooling
+    candidates are spread as among the known records, so at any score the share
+    of open records without a better candidate, over that of known records,
+    bounds the share that have no partner from above. The least such bound, over
+    scores that at least 5 % of the known records stay below, tells how many wrong
+    ones each bin holds. The share of right ones per bin, made monotone by pooling
     adjacent bins, is the confidence. Below `least` known records a fixed curve
     stands in.
     """
     x = (np.arange(len(best)) + 0.5) / len(best)
     if n_known < least or not best.sum():
         return 1 / (1 + np.exp(-40 * (x - 0.68)))
-    bare_known, bare_open = 1 - wrong.sum() / n_known, 1 - best.sum() / max(n_open, 1)
-    lone = min(1.0, bare_open / max(bare_known, 0.05))
+    below_known = (n_known - wrong.sum() + np.r_[0, np.cumsum(wrong)]) / n_known
+    below_open = (n_open - best.sum() + np.r_[0, np.cumsum(best)]) / max(n_open, 1)
+    enough = below_known >= 0.05
+    lone = min(1.0, (below_open[enough] / below_known[enough]).min())
     false = lone * n_open * (wrong + 0.02) / n_known
     # Pool adjacent violators, from the lowest score on.
     blocks: list[list[float]] = []
@@ -220,7 +247,9 @@ def match_official(matches: DataFrame, official: DataFrame, tournaments: DataFra
 
     Matches without a candidate do not come out. Of equal scores the lower
     official id wins. Null, blank or damaged fields lower what is known of a
-    pair but never exclude it; null ids do not count; rows repeated with one id
+    pair and never exclude it within its tournament; where the tournament is
+    missing or wrong on a side, a pair is found by what `candidates` lists. Null
+    ids do not count; rows repeated with one id
     count once, the last loaded; empty tables give an empty result; other
     columns are ignored, whatever their names.
     """

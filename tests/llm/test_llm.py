@@ -132,6 +132,38 @@ def test_matches_with_empty_tables(spark):
     assert matching.match_official(m.limit(0), o, t).count() == 0
 
 
+def test_candidates_hold_every_pair_with_enough_agreeing_fields(spark):
+    """Damage in both alliances, and a tournament that is right, null or wrong: the pairs that brute force scores well are candidates."""
+    rng = random.Random(11)
+    fields = "id long, sku string, name string, r1 string, r2 string, b1 string, b2 string, rs int, bs int, known boolean"
+    right, left = [], []
+    for k in range(90):
+        rec = [f"Q{k % 30 + 1}", *[f"{rng.randrange(20000, 70000)}{rng.choice('ABCDEFGH')}" for _ in range(4)], rng.randrange(10, 99), rng.randrange(10, 99)]
+        right.append((k, f"S{k % 3}", *rec, True))
+        seen = list(rec)
+        one, two = rng.choice((1, 2)), rng.choice((3, 4))
+        for at in (one, two) if k % 5 else (1, 2, 3, 4):  # every fifth has all four teams misread
+            seen[at] = None if k % 5 and rng.random() < 0.5 else seen[at][:1] + "X" + seen[at][2:4] + "Y" + seen[at][5:]
+        if k % 5 and k % 2:
+            seen[0] = None
+        left.append((k, (f"S{k % 3}", None, f"S{(k + 1) % 3}")[k // 3 % 3], *seen, True))
+    left, right = [matching._profiles(spark.createDataFrame(x, fields)) for x in (left, right)]
+    every = left.select(F.col("id").alias("lid")).crossJoin(right.select(F.col("id").alias("rid")))
+    good = {(r["lid"], r["rid"]) for r in matching.field_scores(every, left, right).where("score >= 0.6").collect()}
+    got = {tuple(r) for r in matching.candidates(left, right).collect()}
+    assert len(good) > 60 and good <= got
+    assert {(k, k) for k in range(90)} <= got
+
+
+def test_confidence_without_bare_records():
+    """Where every record has some candidate, the low scores tell how many have no partner."""
+    rng = np.random.default_rng(0)
+    wrong = np.histogram(rng.beta(8, 12, 1000), 50, (0, 1))[0].astype(float)
+    best = np.histogram(np.r_[rng.beta(30, 2, 600), rng.beta(8, 12, 500)], 50, (0, 1))[0].astype(float)
+    c = matching.fit_confidence(wrong, best, 1000, 1100)
+    assert (np.diff(c) >= 0).all() and c[25] < 0.3 and c[47] > 0.95
+
+
 def test_confidence_is_calibrated():
     rng = np.random.default_rng(0)
     wrong = np.histogram(rng.beta(8, 8, 400), 50, (0, 1))[0].astype(float)
