@@ -324,6 +324,17 @@ def throttle(spark, d):
     return tracking.throttle(table(spark, d, "robot_tracks").where("match_id IS NOT NULL AND slot = 'red1'"), ["match_id"])
 
 
+@query("""WITH RECURSIVE o AS (
+      SELECT match_id, t, row_number() OVER (PARTITION BY match_id ORDER BY t) AS i FROM (SELECT DISTINCT match_id, t FROM robot_tracks WHERE match_id IS NOT NULL AND t >= 0)),
+    w AS (
+      SELECT match_id, i, t, t AS kept, TRUE AS hit FROM o WHERE i = 1
+      UNION ALL SELECT o.match_id, o.i, o.t, CASE WHEN o.t >= w.kept + 1.0::DOUBLE THEN o.t ELSE w.kept END, o.t >= w.kept + 1.0::DOUBLE FROM w JOIN o ON o.match_id = w.match_id AND o.i = w.i + 1)
+    SELECT match_id, t FROM w WHERE hit""")
+def throttle_frames(spark, d):
+    """The frames of whole matches, of all slots; `throttle` keeps to those of red1, as its SQL does."""
+    return tracking.throttle(table(spark, d, "robot_tracks").where("match_id IS NOT NULL"), ["match_id"])
+
+
 @query(f"WITH {MA}, n AS (SELECT id, red1 AS team FROM ma WHERE id % 3 = 0 UNION ALL SELECT id + 1000000, blue1 FROM ma WHERE id % 5 = 0) SELECT id, red1 AS team FROM ma WHERE id NOT IN (SELECT id FROM n) UNION ALL SELECT id, team FROM n")
 def upsert_latest(spark, d):
     m = matches(spark, d)

@@ -5,6 +5,7 @@ import decimal
 import glob
 import math
 import os
+import random
 
 import duckdb
 import pytest
@@ -57,5 +58,18 @@ def test_slots_hold_one_reading_a_frame(spark):
     assert t.groupBy("match_id", "slot", "t").count().where("count > 1").count() == 0
 
 
+def test_throttle_over_all_slots(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(m, round(rng.uniform(-1, 30), 1), slot) for m in (1, 2) for slot in ("red1", "red2", "blue1", "blue2")[m - 1 :] for _ in range(60)]
+    spark.createDataFrame(rows + [(None, 1.0, "red1"), (1, None, "red1")], "match_id long, t double, slot string").write.parquet(f"{tmp_path}/robot_tracks.parquet")
+    want = set()
+    for m in (1, 2):
+        last = None
+        for t in sorted({r[1] for r in rows if r[0] == m and r[1] >= 0}):
+            if last is None or t >= last + 1.0:
+                want.add((m, last := t))
+    assert {tuple(r) for r in catalogue.QUERIES["throttle_frames"](spark, str(tmp_path)).select("match_id", "t").collect()} == want
+
+
 def test_sql_only_for_queries():
     assert set(catalogue.SQL) <= set(catalogue.QUERIES) and catalogue.FLAGSHIP in catalogue.QUERIES
