@@ -346,15 +346,24 @@ def team_reports(spark, d):
     return export.team_reports(features.team_tendencies(_robots(spark, d)))
 
 
-@query(f"WITH {TR} SELECT match_id AS image_id, count(*) AS n_boxes, round(sum(floor(x_in) / 200), 4) AS cx_sum FROM tr WHERE t < 20 GROUP BY match_id")
-def label_round_trip(spark, d):
-    """Boxes to label text and back."""
-    t = tracks(spark, d).where("t < 20")
+def _round_trip(t):
     b = t.select(F.col("match_id").cast("string").alias("image"), F.col("row_id").alias("pos"), F.lit(1).alias("cls"), (F.floor("x_in") / 200).alias("cx"), (F.floor("y_in") / 200).alias("cy"), F.lit(0.1).alias("bw"), F.lit(0.1).alias("bh"))
     p = tables.parse_labels(tables.label_lines(b))
     return p.groupBy(F.col("image").cast("long").alias("image_id")).agg(F.count("*").alias("n_boxes"), F.round(F.sum("cx"), 4).alias("cx_sum"))
 
 
+@query(f"WITH {TR} SELECT match_id AS image_id, count(*) AS n_boxes, round(sum(floor(x_in) / 200), 4) AS cx_sum FROM tr WHERE t < 20 GROUP BY match_id")
+def label_round_trip(spark, d):
+    """Boxes of the first 20 seconds to label text and back, as its SQL has it; `label_round_trip_whole` has whole matches."""
+    return _round_trip(tracks(spark, d).where("t < 20"))
+
+
+@query(f"WITH {TR} SELECT match_id AS image_id, count(*) AS n_boxes, round(sum(floor(x_in) / 200), 4) AS cx_sum FROM tr GROUP BY match_id")
+def label_round_trip_whole(spark, d):
+    """Boxes to label text and back."""
+    return _round_trip(tracks(spark, d))
+
+
 @query(None)
 def sampled_times(spark, d):
     return tables.sampled_times(matches(spark, d), 1000)

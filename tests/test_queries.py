@@ -71,5 +71,12 @@ def test_throttle_over_all_slots(spark, tmp_path):
     assert {tuple(r) for r in catalogue.QUERIES["throttle_frames"](spark, str(tmp_path)).select("match_id", "t").collect()} == want
 
 
+def test_label_round_trip_over_whole_matches(spark, tmp_path):
+    rows = [(m * 1000 + k, m, k / 5, "red1", "1A", float(k % 140), 70.0, 1.0) for m in (1, 2) for k in range(600)]
+    spark.createDataFrame(rows, "row_id long, match_id long, t double, slot string, team string, x_in double, y_in double, conf double").write.parquet(f"{tmp_path}/robot_tracks.parquet")
+    got = {r["image_id"]: (r["n_boxes"], r["cx_sum"]) for r in catalogue.QUERIES["label_round_trip_whole"](spark, str(tmp_path)).collect()}
+    assert got == {m: (600, round(sum(k % 140 for k in range(600)) / 200, 4)) for m in (1, 2)}
+
+
 def test_sql_only_for_queries():
     assert set(catalogue.SQL) <= set(catalogue.QUERIES) and catalogue.FLAGSHIP in catalogue.QUERIES
