@@ -12,7 +12,7 @@ and impossible values are tested on their own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -112,8 +112,8 @@ def low_rank(v: np.ndarray, start: np.ndarray, count: np.ndarray, unit: np.ndarr
     return course + np.repeat(level, count)
 
 
-def flag_series(src: np.ndarray, t: np.ndarray, v: np.ndarray, rules: SpikeRules) -> np.ndarray:
-    """Bits IMPOSSIBLE, STUCK and SPIKE per row; src numbers the sources, rows of one source lie together in order of t."""
+def flag_series(src: np.ndarray, t: np.ndarray, v: np.ndarray, rules: SpikeRules, usual: np.ndarray | None = None) -> np.ndarray:
+    """Bits IMPOSSIBLE, STUCK and SPIKE per row; src numbers the sources, rows of one source lie together in order of t. usual: per row its source's usual step where that is known of more than these rows, else NaN."""
     n = len(v)
     flags = np.zeros(n, np.int32)
     if not n:
@@ -135,6 +135,8 @@ def flag_series(src: np.ndarray, t: np.ndarray, v: np.ndarray, rules: SpikeRules
     start = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
     count = np.diff(np.r_[start, len(s)])
     unit = usual_step(x, start, s)
+    if usual is not None:
+        unit = np.where(np.isnan(usual[rows][start]), unit, usual[rows][start])
     finite_unit = np.where(np.isfinite(unit), unit, 1.0)
     course = low_rank(x, start, count, finite_unit, rules)
     sparse = np.abs(x - course) > (0.4 * rules.times * finite_unit)[s]
@@ -165,6 +167,69 @@ def _returns(x: np.ndarray, s: np.ndarray, least: np.ndarray, sparse: np.ndarray
     return hit
 
 
+def cut_by_time(rows: DataFrame, counted: DataFrame, max_rows: int, halo: float) -> DataFrame:
+    """The rows of the sources of counted (src, count), each source in as many blocks as its own count needs: src, t, rid, values, block, core. Rows within halo seconds of a block's edge are copied to the next, with core false."""
+    n, most = counted.agg(F.count("*"), F.max("count")).first()
+    # A grid of quantiles for all sources, of which each takes its own cuts.
+    grid = 4 * -(-most // max_rows)
+    probs = F.array(*[F.lit((i + 1) / grid) for i in range(grid - 1)])
+    keys = F.broadcast(counted.select("src")) if fits_broadcast(counted) else counted.select("src")
+    cuts = rows.join(keys, "src").groupBy("src").agg(F.percentile_approx("t", probs, 10_000).alias("fine"), F.ceil(F.count("*") / max_rows).cast("int").alias("k"))
+    cuts = cuts.select("src", F.transform(F.sequence(F.lit(1), F.col("k") - 1), lambda j: F.element_at("fine", F.round(j * grid / F.col("k")).cast("int"))).alias("cuts"))
+    cuts = F.broadcast(cuts) if n <= 10_000 else cuts
+    own, lo, hi = (F.expr(f"size(filter(cuts, c -> c <= t {d}))") for d in ("", f"- {halo}", f"+ {halo}"))
+    cut = rows.join(cuts, "src").withColumn("own", own).withColumn("block", F.explode(F.sequence(lo, hi)))
+    return cut.withColumn("core", F.col("own") == F.col("block")).drop("cuts", "own")
+
+
+def by_source(work: Callable[[list[np.ndarray]], pa.RecordBatch]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """work over batches sorted by their first column, each call with whole sources."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        n = 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append([c.to_numpy(zero_copy_only=False) for c in b.columns])
+            n += b.num_rows
+            if n < 120_000:
+                continue
+            cols = [np.concatenate(x) for x in zip(*held)]
+            cut = int(np.searchsorted(cols[0], cols[0][-1], side="left"))  # the last source may go on
+            if cut:
+                yield work([c[:cut] for c in cols])
+            held, n = [[c[cut:] for c in cols]], len(cols[0]) - cut
+        if n:
+            yield work([np.concatenate(x) for x in zip(*held)])
+
+    return run
+
+
+def usual_steps(cut: DataFrame, rules: list[SpikeRules]) -> DataFrame:
+    """(src, u0, u1, ...): the usual step of each value over all blocks of a source, as `usual_step` has it for one block. The quantiles are approximate, of a rank within 1 in 10,000."""
+    cols = [f"v{i}" for i in range(len(rules))]
+    rows = cut.select(F.xxhash64("src", "block").alias("part"), "t", "rid", "core", "src", *cols).repartition("part").sortWithinPartitions("part", "t", "rid")
+    out = pa.schema([("src", pa.int64()), ("field", pa.int32()), ("step", pa.float64())])
+
+    def work(cols: list[np.ndarray]) -> pa.RecordBatch:
+        part, t, rid, core, src, *vs = cols
+        once = np.r_[True, (part[1:] != part[:-1]) | (t[1:] != t[:-1]) | (rid[1:] != rid[:-1])]
+        got: list[tuple] = []
+        for i, v in enumerate(vs):
+            keep = once & (v >= rules[i].low) & (v <= rules[i].high)
+            p, x = part[keep], v[keep]
+            step = np.abs(np.diff(x))
+            real = (p[1:] == p[:-1]) & (step > 0) & core[keep][1:]
+            got.append((src[keep][1:][real], np.full(real.sum(), i, np.int32), step[real]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*got)], schema=out)
+
+    steps = rows.mapInArrow(by_source(work), "src long, field int, step double")
+    q = F.percentile_approx("step", F.array(F.lit(0.5), F.lit(0.9)), 10_000)
+    unit = steps.groupBy("src", "field").agg(q.alias("q")).select("src", "field", F.least(F.col("q")[1], 3.5 * F.col("q")[0]).alias("u"))
+    return unit.groupBy("src").agg(*[F.max(F.when(F.col("field") == i, F.col("u"))).alias(f"u{i}") for i in range(len(rules))])
+
+
 def flag_readings(
     df: DataFrame, source: list[str], t: str, row_id: str, values: dict[str, SpikeRules],
     max_rows: int = 100_000, halo_s: float | None = None,
@@ -176,7 +241,8 @@ def flag_readings(
     repeated with the same row_id count once; an empty table gives an empty
     result; other columns are ignored, whatever their names. A source of more
     than max_rows rows is cut by t into blocks with halo_s seconds of overlap
-    (default: twice the longest stuck_s), each judged by its own behaviour.
+    (default: twice the longest stuck_s); each has its own low-rank course, and
+    all are judged by the usual step of the whole source.
     """
     fields = list(values)
     halo = halo_s or 2 * max(r.stuck_s for r in values.values())
@@ -188,55 +254,33 @@ def flag_readings(
     rows = rows.drop(*[f"s{i}" for i in range(len(source))])
     # Sources too large for one task: usually none.
     counted = rows.groupBy("src").count().where(F.col("count") > max_rows).select("src", "count")
-    hot = [tuple(r) for r in counted.agg(F.count("*"), F.max("count")).collect()][0]
-    if hot[0]:
-        k = -(-hot[1] // max_rows)
+    rules, vs = list(values.values()), [f"v{i}" for i in range(len(fields))]
+    us: list[str] = []
+    if counted.limit(1).count():
+        us = [f"u{i}" for i in range(len(fields))]
         keys = F.broadcast(counted.select("src")) if fits_broadcast(counted) else counted.select("src")
-        probs = F.array(*[F.lit((i + 1) / k) for i in range(k - 1)])
-        cuts = rows.join(keys, "src").groupBy("src").agg(F.percentile_approx("t", probs, 10_000).alias("cuts"))
-        cuts = F.broadcast(cuts) if hot[0] <= 10_000 else cuts
-        own = F.coalesce(F.expr("size(filter(cuts, c -> c <= t))"), F.lit(0))
-        lo = F.coalesce(F.expr(f"size(filter(cuts, c -> c <= t - {halo}))"), F.lit(0))
-        hi = F.coalesce(F.expr(f"size(filter(cuts, c -> c <= t + {halo}))"), F.lit(0))
-        rows = rows.join(cuts, "src", "left").withColumn("own", own).withColumn("block", F.explode(F.sequence(lo, hi)))
-        rows = rows.withColumn("core", F.col("own") == F.col("block")).withColumn("src", F.xxhash64("src", "block")).drop("cuts", "own", "block")
+        cut = cut_by_time(rows, counted, max_rows, halo)
+        cut = cut.join(usual_steps(cut, rules), "src", "left").withColumn("src", F.xxhash64("src", "block"))
+        whole = rows.join(keys, "src", "left_anti").withColumn("core", F.lit(True))
+        rows = cut.select("src", "t", "rid", "core", *vs, *us).unionByName(whole.select("src", "t", "rid", "core", *vs, *[F.lit(None).cast("double").alias(u) for u in us]))
     else:
         rows = rows.withColumn("core", F.lit(True))
-    rows = rows.select("src", "t", "rid", "core", *[f"v{i}" for i in range(len(fields))]).repartition("src").sortWithinPartitions("src", "t", "rid")
+    rows = rows.select("src", "t", "rid", "core", *vs, *us).repartition("src").sortWithinPartitions("src", "t", "rid")
     out = pa.schema([("rid", pa.int64()), ("field", pa.int32()), ("flags", pa.int32())])
-    rules = list(values.values())
 
     def work(cols: list[np.ndarray]) -> pa.RecordBatch:
-        src, t_, rid, core, *vs = cols
+        src, t_, rid, core = cols[:4]
         once = np.r_[True, (src[1:] != src[:-1]) | (t_[1:] != t_[:-1]) | (rid[1:] != rid[:-1])]
-        src, t_, rid, core, vs = src[once], t_[once], rid[once], core[once], [v[once] for v in vs]
+        src, t_, rid, core, *rest = [c[once] for c in cols]
         got: list[tuple] = []
-        for i, v in enumerate(vs):
+        for i, v in enumerate(rest[: len(rules)]):
             real = ~np.isnan(v)
-            flags = flag_series(src[real], t_[real], v[real], rules[i])
+            flags = flag_series(src[real], t_[real], v[real], rules[i], rest[len(rules) + i][real] if us else None)
             hit = (flags > 0) & core[real]
             got.append((rid[real][hit], np.full(hit.sum(), i, np.int32), flags[hit]))
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*got)], schema=out)
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        n = 0
-        for b in batches:
-            if not b.num_rows:
-                continue
-            held.append([c.to_numpy(zero_copy_only=False) for c in b.columns])
-            n += b.num_rows
-            if n < 120_000:
-                continue
-            cols = [np.concatenate(x) for x in zip(*held)]
-            cut = int(np.searchsorted(cols[0], cols[0][-1], side="left"))  # the last source may go on
-            if cut:
-                yield work([c[:cut] for c in cols])
-            held, n = [[c[cut:] for c in cols]], len(cols[0]) - cut
-        if n:
-            yield work([np.concatenate(x) for x in zip(*held)])
-
-    flagged = rows.mapInArrow(judge, "rid long, field int, flags int")
+    flagged = rows.mapInArrow(by_source(work), "rid long, field int, flags int")
     names = F.array(*[F.lit(f) for f in fields])
     return flagged.select(
         F.col("rid").alias(row_id), F.element_at(names, F.col("field") + 1).alias("field"),

@@ -42,6 +42,28 @@ def test_planted_readings(spark, max_rows):
     assert {(r["row_id"], r["field"], k) for r in got for k in ("impossible", "stuck", "spike") if r[k]} == want
 
 
+@pytest.mark.parametrize("max_rows", [100_000, 1_000])
+def test_parked_block_is_judged_by_the_whole_source(spark, max_rows):
+    """In the second third the robot is parked, and its only steps are those of the spikes."""
+    rows = walk(1, 3000, 5)
+    want = set()
+    for k in range(1000, 2000):
+        rows[k][4] = rows[1000][4] if k > 1000 else 70.0
+        if k % 9 == 0 and 1050 < k < 1950:
+            rows[k][4] += 60.0
+            want.add(rows[k][0])
+    got = spikes.flag_readings(spark.createDataFrame(rows, TRACK), ["match_id", "slot"], "t", "row_id", {"x_in": spikes.TRACKS}, max_rows=max_rows).where("spike").collect()
+    assert {r["row_id"] for r in got if 1050 < r["row_id"] - 10_000 < 1950} == want
+
+
+def test_blocks_of_a_source_follow_its_own_rows(spark):
+    rows = spark.createDataFrame([(s, k * 0.2, k) for s, n in ((1, 101), (2, 3000)) for k in range(n)], "src long, t double, rid long")
+    cut = spikes.cut_by_time(rows, rows.groupBy("src").count(), 100, 1.0).where("core")
+    n = {(r["src"], r["block"]): r["count"] for r in cut.groupBy("src", "block").count().collect()}
+    assert sum(s == 1 for s, _ in n) == 2 and sum(s == 2 for s, _ in n) == 30
+    assert max(n.values()) <= 125 and sum(n.values()) == 3101
+
+
 def test_no_readings(spark):
     df = spark.createDataFrame([], TRACK)
     assert spikes.flag_readings(df, ["match_id"], "t", "row_id", {"x_in": spikes.TRACKS}).count() == 0
