@@ -65,15 +65,17 @@ def profile_vector(visual: Column, behaviour: Column) -> Column:
 
 
 def archetypes(teams: DataFrame, seeds: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, archetype and archetype_conf of every team: multinomial regression on labelled seeds. teams: keys, vector (array); seeds: keys, archetype. Raises for fewer than two labels."""
-    names = [r[0] for r in seeds.select("archetype").distinct().orderBy("archetype").limit(1000).collect()]
+    """keys, archetype and archetype_conf of every team: multinomial regression on labelled seeds. teams: keys, vector (array); seeds: keys, archetype. Seeds without an archetype do not count. Raises for fewer than two labels or more than 1,000."""
+    names = [r[0] for r in seeds.select("archetype").where("archetype IS NOT NULL").distinct().orderBy("archetype").limit(1001).collect()]
     if len(names) < 2:
         raise ValueError("labels of at least two archetypes are needed")
+    if len(names) > 1000:
+        raise ValueError("more than 1,000 archetypes")
     from pyspark.ml.functions import array_to_vector
 
     data = teams.select(*keys, array_to_vector(F.col("vector").cast("array<double>")).alias("features"))
     label = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("archetype")).cast("double") - 1
-    known = data.join(seeds, keys).withColumn("label", label)
+    known = data.join(seeds.where("archetype IS NOT NULL"), keys).withColumn("label", label)
     fitted = LogisticRegression(family="multinomial", regParam=1.0 / max(known.count(), 1), standardization=False, maxIter=2000).fit(known)
     p = vector_to_array(F.col("probability"))
     return fitted.transform(data).select(

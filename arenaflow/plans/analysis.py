@@ -388,6 +388,7 @@ def playstyle_clusters(spark, d):
 
 @query(None)
 def archetypes(spark, d):
-    e = table(spark, d, "embeddings").where("label IS NOT NULL").select("vec_id", "label", F.col("embedding").alias("vector"))
-    seeds = e.where("vec_id % 5 = 0").select("vec_id", F.concat(F.lit("kind"), F.col("label").cast("string")).alias("archetype"))
+    """Every vector, by a regression on all labelled ones."""
+    e = table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").alias("vector"))
+    seeds = e.where("label IS NOT NULL").select("vec_id", F.concat(F.lit("kind"), F.col("label").cast("string")).alias("archetype"))
     return insights.archetypes(e.select("vec_id", "vector"), seeds, ["vec_id"])

@@ -10,6 +10,7 @@ import random
 import duckdb
 import pytest
 
+from arenaflow.operators import insights
 from arenaflow.plans import catalogue
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -78,5 +79,20 @@ def test_label_round_trip_over_whole_matches(spark, tmp_path):
     assert got == {m: (600, round(sum(k % 140 for k in range(600)) / 200, 4)) for m in (1, 2)}
 
 
+def test_archetypes_of_every_vector(spark, tmp_path):
+    rng = random.Random(5)
+    # The third label has no vec_id that 5 divides; every seventh vector has no label.
+    rows = [(k * 5 + label, [float(label == i) + rng.gauss(0, 0.05) for i in range(3)], label if k % 7 else None) for k in range(40) for label in range(3)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r["vec_id"]: r["archetype"] for r in catalogue.QUERIES["archetypes"](spark, str(tmp_path)).collect()}
+    assert got == {v: f"kind{v % 5}" for v, _, _ in rows}
+
+
+def test_too_many_archetypes(spark):
+    teams = spark.range(1001).selectExpr("id", "array(cast(id AS double), 1.0D) AS vector")
+    with pytest.raises(ValueError):
+        insights.archetypes(teams, teams.selectExpr("id", "concat('k', id) AS archetype"), ["id"])
+
+
 def test_sql_only_for_queries():
     assert set(catalogue.SQL) <= set(catalogue.QUERIES) and catalogue.FLAGSHIP in catalogue.QUERIES
