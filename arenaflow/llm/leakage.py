@@ -268,7 +268,7 @@ def _search_shard(items: _Items, ids: list[int], docs: list[np.ndarray], min_wor
 
 def leaked_items(
     documents: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id",
-    min_words: int = 12, min_share: float = 1 / 3, seed_words: int = 4, min_seeds: int = 4, shard_words: int = 500_000,
+    min_words: int = 12, min_share: float = 1 / 3, seed_words: int = 2, min_seeds: int = 4, shard_words: int = 500_000,
 ) -> DataFrame:
     """(doc_id, item_id, share, spans): documents that hold, in the item's order, stretches of at least min_words words of the item that together make up min_share of its words.
 
@@ -278,8 +278,8 @@ def leaked_items(
     wordless texts hold nothing; items shorter than min_words leak nowhere;
     repeated rows give the same rows, which come out once; empty tables give an
     empty result; other columns are ignored, whatever their names. A stretch of
-    min_words words with an error after every fifth word still holds the
-    min_seeds seeds on nearly one diagonal that make it a candidate.
+    min_words words with an error after every second word still holds the
+    min_seeds pairs of words on nearly one diagonal that make it a candidate.
     """
     spark = documents.sparkSession
     n_items = items.count()

@@ -172,6 +172,15 @@ def test_confidence_is_calibrated():
     assert (np.diff(c) >= 0).all() and c[20] < 0.3 and c[47] > 0.95
 
 
+@pytest.mark.parametrize("every", [3, 4])
+def test_leak_with_dense_errors_is_found(spark, every):
+    item = [f"word{k}" for k in range(60)]
+    leak = [w if k % every else f"other{k}" for k, w in enumerate(item, 1)]
+    docs = spark.createDataFrame([(1, " ".join(["before"] * 5 + leak + ["after"] * 5)), (2, "nothing of it " * 20)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    assert [(r["doc_id"], r["item_id"]) for r in leakage.leaked_items(docs, items).collect()] == [(1, 7)]
+
+
 def test_fm_index_finds_all():
     rng = np.random.default_rng(0)
     s = rng.integers(1, 5, 800)
