@@ -221,12 +221,13 @@ def fit_confidence(wrong: np.ndarray, best: np.ndarray, n_known: int, n_open: in
     bounds the share that have no partner from above. The least such bound, over
     scores that at least 5 % of the known records stay below, tells how many wrong
     ones each bin holds. The share of right ones per bin, made monotone by pooling
-    adjacent bins, is the confidence. Below `least` known records a fixed curve
-    stands in.
+    adjacent bins, is the confidence, averaged with a fixed curve that weighs as
+    much as `least` known records, so that it fades with their number.
     """
     x = (np.arange(len(best)) + 0.5) / len(best)
-    if n_known < least or not best.sum():
-        return 1 / (1 + np.exp(-40 * (x - 0.68)))
+    prior = 1 / (1 + np.exp(-40 * (x - 0.68)))
+    if not n_known or not best.sum():
+        return prior
     below_known = (n_known - wrong.sum() + np.r_[0, np.cumsum(wrong)]) / n_known
     below_open = (n_open - best.sum() + np.r_[0, np.cumsum(best)]) / max(n_open, 1)
     enough = below_known >= 0.05
@@ -239,7 +240,8 @@ def fit_confidence(wrong: np.ndarray, best: np.ndarray, n_known: int, n_open: in
         while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] > blocks[-1][0] * blocks[-2][1]:
             g, n_, k = blocks.pop()
             blocks[-1] = [blocks[-1][0] + g, blocks[-1][1] + n_, blocks[-1][2] + k]
-    return np.concatenate([np.full(k, g / n_ if n_ else 0.0) for g, n_, k in blocks])
+    fitted = np.concatenate([np.full(k, g / n_ if n_ else 0.0) for g, n_, k in blocks])
+    return (n_known * fitted + least * prior) / (n_known + least)
 
 
 def match_official(matches: DataFrame, official: DataFrame, tournaments: DataFrame, bins: int = 50) -> DataFrame:

@@ -181,6 +181,15 @@ def test_leak_with_dense_errors_is_found(spark, every):
     assert [(r["doc_id"], r["item_id"]) for r in leakage.leaked_items(docs, items).collect()] == [(1, 7)]
 
 
+def test_confidence_has_no_switch_by_size():
+    best = np.zeros(50)
+    best[[12, 15, 30, 45]] = 5, 10, 20, 40
+    wrong = np.zeros(50)
+    wrong[[12, 15]] = 20, 40
+    curves = [matching.fit_confidence(wrong, best, n, 90) for n in (98, 99, 100, 101)]
+    assert max(np.abs(a - b).max() for a, b in zip(curves, curves[1:])) < 0.02
+
+
 def test_fm_index_finds_all():
     rng = np.random.default_rng(0)
     s = rng.integers(1, 5, 800)
