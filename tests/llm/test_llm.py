@@ -181,6 +181,85 @@ def test_leak_with_dense_errors_is_found(spark, every):
     assert [(r["doc_id"], r["item_id"]) for r in leakage.leaked_items(docs, items).collect()] == [(1, 7)]
 
 
+@pytest.mark.parametrize("every", [2, 3, 5])
+@pytest.mark.parametrize("kind", ["altered", "added", "dropped", "mixed"])
+def test_leak_with_errors_of_any_kind(spark, every, kind):
+    rng = random.Random(every)
+    item = [f"word{k}" for k in range(60)]
+    leak = []
+    for k, w in enumerate(item, 1):
+        how = rng.choice(("altered", "added", "dropped")) if kind == "mixed" else kind
+        leak += [w] if k % every else [f"other{k}"] if how == "altered" else [w, f"other{k}"] if how == "added" else []
+    want = leakage.aligned_stretches(item, leak, 12)
+    docs = spark.createDataFrame([(1, " ".join(["before"] * 5 + leak + ["after"] * 5))], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = leakage.leaked_items(docs, items).collect()
+    assert len(got) == 1 and abs(got[0]["share"] - sum(e[0] for e in want) / 60) < 1e-9 and got[0]["share"] >= 0.49
+
+
+def stretches_by_trying_all(item, doc, least):
+    """The most words in stretches, by recursion over every choice."""
+    import functools
+
+    @functools.lru_cache(None)
+    def best(i, j, n):  # the stretch now has n words and ended at item word i, document word j
+        top = 0 if n >= least else -(10**6)
+        for di, dj in leakage.MOVES:
+            if i + di < len(item) and j + dj < len(doc) and item[i + di] == doc[j + dj]:
+                top = max(top, 1 + best(i + di, j + dj, min(n + 1, least)))
+        if n >= least:
+            top = max(top, fresh(i + 1, j + 1))
+        return top
+
+    @functools.lru_cache(None)
+    def fresh(i, j):
+        top = 0
+        for a in range(i, len(item)):
+            for b in range(j, len(doc)):
+                if item[a] == doc[b]:
+                    top = max(top, 1 + best(a, b, 1))
+        return top
+
+    return fresh(0, 0)
+
+
+def test_alignment_takes_the_best_stretches():
+    rng = random.Random(8)
+    for _ in range(120):
+        item, doc = [[rng.choice("abc") for _ in range(rng.randrange(4, 11))] for _ in range(2)]
+        chain = leakage.aligned_stretches(item, doc, 3)
+        assert sum(e[0] for e in chain) == stretches_by_trying_all(tuple(item), tuple(doc), 3)
+        assert all(a[2] <= b[1] and a[4] <= b[3] for a, b in zip(chain, chain[1:])) and all(e[0] >= 3 for e in chain)
+
+
+@pytest.mark.parametrize("shard", [90, 400, 100_000])
+def test_leaks_equal_brute_force(spark, monkeypatch, shard):
+    """Few words, so that chance stretches abound: candidates lose none of what the alignment of every document with every item finds."""
+    monkeypatch.setattr(leakage, "HITS_AT_ONCE", 500)
+    monkeypatch.setattr(leakage, "ITEMS_PER_BLOCK", 10 if shard == 400 else 5_000)
+    rng = random.Random(shard)
+    few = [a + b for a in "bdfg" for b in "aeiou"]
+    items = {k: [rng.choice(few) for _ in range(rng.randrange(12, 40))] for k in range(25)}
+    docs = {k: [rng.choice(few) for _ in range(rng.randrange(5, 200))] for k in range(60)}
+    for k in range(0, 60, 2):
+        it = items[k % 25]
+        a = rng.randrange(0, max(len(it) - 16, 1))
+        part = [w for w in it[a : a + rng.randrange(14, 30)] if rng.random() < 0.9]
+        docs[k][3:3] = part
+    got = {(r["doc_id"], r["item_id"]): r["share"] for r in leakage.leaked_items(
+        spark.createDataFrame([(k, " ".join(w)) for k, w in docs.items()], "doc_id long, text string"),
+        spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string"), shard_words=shard,
+    ).collect()}
+    want = {(d, i): sum(e[0] for e in leakage.aligned_stretches(v, w, 12)) / len(v) for d, w in docs.items() for i, v in items.items()}
+    want = {k: s for k, s in want.items() if s >= 1 / 3 - 1e-9}
+    assert len(want) > 15 and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_places_of_words_in_the_text():
+    for text in ("Déjà-VU, l’école ﬁn­!", "Plain text, isn't it?", "ＦＵＬＬ ｗｉｄｔｈ ´acute Ǆ İstanbul ß", " \t\n", ""):
+        assert [leakage.words_of(text[a:b]) for a, b in leakage.word_places(text)] == [[w] for w in leakage.words_of(text)]
+
+
 def test_confidence_has_no_switch_by_size():
     best = np.zeros(50)
     best[[12, 15, 30, 45]] = 5, 10, 20, 40
