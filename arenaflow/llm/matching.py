@@ -4,13 +4,12 @@ Every attribute's q-grams are set as bits of a fixed-width vector. Close pairs
 come from multi-index Hamming hashing: vectors within r bits agree exactly on
 at least one of r + 1 disjoint sets of bit positions, so an equi-join on each
 set finds all of them and counting the bits of the exclusive or keeps just
-them. Within one tournament every pair is a candidate. For records whose
-tournament is missing or wrong there are searches across all tournaments: whole
-records of no known tournament with a wide radius, single alliances with a narrow
-one, and equi-joins on agreements of two or three undamaged fields (two teams, a
-team and the name or both scores, the name and both scores). Candidates get Dice
-scores per field, a weighted mean of the fields present, and from that a
-confidence fitted on the records that are already matched.
+them. Whole records and alliances are searched so, within a tournament with a
+wider radius than across all of them; equal fields, vectors at distance 0, are
+joined by key: one of them within a tournament, two of them anywhere.
+Candidates get Dice scores per field, either way round of the colours, a
+weighted mean of the fields present, and from that a confidence fitted on the
+records that are already matched. Exact copies are compared once.
 """
 
 from __future__ import annotations
@@ -101,10 +100,14 @@ def hamming_pairs(left: DataFrame, right: DataFrame, block: list[str], words: in
     return pairs.where(apart <= radius).select("lid", "rid").distinct()
 
 
+#: What tells one record from another; records equal in all of it are copies.
+FIELDS = ["sku", "name", "r1", "r2", "b1", "b2", "rs", "bs"]
+
+
 def _profiles(df: DataFrame) -> DataFrame:
-    """Adds the vectors of the fields: df has id, sku, name, r1, r2, b1, b2 (canonical) and scores."""
+    """Adds the vectors of the fields: df has id and FIELDS, teams and name canonical. Sides are told apart by the fields only, so that records with their colours mixed up lie close to each other."""
     red, blue = F.concat(grams(F.col("r1")), grams(F.col("r2"))), F.concat(grams(F.col("b1")), grams(F.col("b2")))
-    whole = F.concat(F.transform(red, lambda g: F.concat(F.lit("r"), g)), F.transform(blue, lambda g: F.concat(F.lit("b"), g)), grams(F.col("name"), "n"))
+    whole = F.concat(red, blue, grams(F.col("name"), "n"))
     return df.withColumns({"red_v": bit_vector(red, 2), "blue_v": bit_vector(blue, 2), "all_v": bit_vector(whole, 4), "name_v": bit_vector(grams(F.col("name")), 1)})
 
 
@@ -114,7 +117,7 @@ def match_profiles(matches: DataFrame, tournaments: DataFrame) -> DataFrame:
     one = latest_versions(matches.where("id IS NOT NULL"), "id", cols)
     sku = latest_versions(tournaments.where("id IS NOT NULL"), "id", ["sku"]).select(F.col("id").alias("event_id"), F.col("sku").alias("t_sku"), F.lit(True).alias("known"))
     one = one.join(sku, "event_id", "left")
-    return _profiles(
+    return (
         one.select(
             "id", "re_match_id", F.when(F.trim("t_sku") != "", F.trim("t_sku")).alias("sku"), F.coalesce("known", F.lit(False)).alias("known"), canon_name(F.col("name")).alias("name"),
             *[canon_team(F.col(c)).alias(a) for c, a in (("red1", "r1"), ("red2", "r2"), ("blue1", "b1"), ("blue2", "b2"))],
@@ -133,7 +136,7 @@ def official_profiles(official: DataFrame) -> DataFrame:
     def team(colour: str, i: int) -> Column:
         return canon_team(F.get(F.get(side(colour), F.lit(0))["teams"], F.lit(i))["team"]["name"])
 
-    return _profiles(
+    return (
         one.select(
             "id", F.when(F.trim("sku") != "", F.trim("sku")).alias("sku"), official_name(F.col("round"), F.col("instance"), F.col("matchnum")).alias("name"),
             team("red", 0).alias("r1"), team("red", 1).alias("r2"), team("blue", 0).alias("b1"), team("blue", 1).alias("b2"),
@@ -142,9 +145,24 @@ def official_profiles(official: DataFrame) -> DataFrame:
     )
 
 
+def distinct_records(df: DataFrame, also: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(records, members): of rows equal in FIELDS and `also` one record with the least id and their number n; (id, copy) of every row, copy being the key of its record."""
+    cols = [*FIELDS, *also]
+    keyed = df.withColumn("copy", F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256))
+    records = keyed.groupBy("copy").agg(F.min("id").alias("id"), F.count("*").alias("n"), *[F.first(c).alias(c) for c in cols])
+    return records, keyed.select("id", "copy", *also)
+
+
 def agreement_keys(df: DataFrame, name: str) -> DataFrame:
-    """(name, key): a record's agreements that prove a pair worth scoring whatever its tournament: two teams of their alliances, one team and the match name, one team and both scores, or the name and both scores. What is null gives no key."""
-    teams = [("r", F.col("r1")), ("r", F.col("r2")), ("b", F.col("b1")), ("b", F.col("b2"))]
+    """(name, key): a record's agreements that prove a pair worth scoring, whichever side holds which colour.
+
+    Within a tournament one undamaged field is enough: a team, the name or both
+    scores; whatever the tournament, two teams, a team and the name, a team and
+    both scores, or the name and both scores. What is null gives no key.
+    """
+    teams = [F.col(c) for c in ("r1", "r2", "b1", "b2")]
+    low, high = F.least("rs", "bs"), F.greatest("rs", "bs")  # of two numbers
+    both = F.col("rs").isNotNull() & F.col("bs").isNotNull()
 
     def key(kind: str, *parts: Column) -> Column:
         there = F.lit(True)
@@ -152,64 +170,79 @@ def agreement_keys(df: DataFrame, name: str) -> DataFrame:
             there = there & p.isNotNull()
         return F.when(there, F.xxhash64(F.lit(kind), *parts))
 
-    keys = [key("name, scores", F.col("name"), F.col("rs"), F.col("bs"))]
-    for i, (side, team) in enumerate(teams):
-        keys += [key(f"{side}, name", team, F.col("name")), key(f"{side}, scores", team, F.col("rs"), F.col("bs"))]
-        for other, mate in teams[i + 1 :]:
-            both = key(side + other, team, mate)
-            keys.append(F.when(both.isNotNull(), key(side + other, F.least(team, mate), F.greatest(team, mate))) if side == other else both)
+    def scored(k: Column) -> Column:
+        return F.when(both, k)
+
+    name_, sku = F.col("name"), F.col("sku")
+    keys = [scored(key("name, scores", name_, low, high)), key("tournament, name", sku, name_), scored(key("tournament, scores", sku, low, high))]
+    for i, team in enumerate(teams):
+        keys += [key("team, name", team, name_), scored(key("team, scores", team, low, high)), key("tournament, team", sku, team)]
+        for mate in teams[i + 1 :]:
+            keys.append(F.when(team.isNotNull() & mate.isNotNull(), key("teams", F.least(team, mate), F.greatest(team, mate))))
     return df.select(F.col("id").alias(name), F.explode(F.array_distinct(F.array_compact(F.array(*keys)))).alias("key"))
 
 
-def candidates(left: DataFrame, right: DataFrame, wide: int = 12, narrow: int = 2) -> DataFrame:
-    """(lid, rid): every pair of one tournament; of records of no known sku whole records within `wide` bits; and anywhere an alliance within `narrow` bits or a shared agreement key."""
-    same = left.where("sku IS NOT NULL").select(F.col("id").alias("lid"), "sku").join(right.where("sku IS NOT NULL").select(F.col("id").alias("rid"), "sku"), "sku").select("lid", "rid")
-    nowhere = [df.where("sku IS NULL").select("id", F.col("all_v").alias("v"), F.lit("?").alias("sku")) for df in (left, right)]
-    near = hamming_pairs(*nowhere, ["sku"], 4, wide)
-    agree = agreement_keys(left, "lid").join(agreement_keys(right, "rid"), "key").select("lid", "rid")
+def candidates(left: DataFrame, right: DataFrame, wide: int = 12, near: int = 4, narrow: int = 2) -> DataFrame:
+    """(lid, rid): whole records within `wide` bits of one tournament or of no known one; an alliance within `near` bits in one tournament and within `narrow` anywhere; and pairs with an agreement key. No record meets all others of its tournament."""
+    somewhere = F.coalesce(F.col("sku"), F.lit("?"))
+
+    def wholes(df: DataFrame) -> DataFrame:
+        return df.where("coalesce(name, r1, r2, b1, b2) IS NOT NULL").select("id", F.col("all_v").alias("v"), somewhere.alias("sku"))
 
     def alliances(df: DataFrame) -> DataFrame:
-        return union_all([df.where(f"{c} IS NOT NULL").select("id", F.col(f"{side}_v").alias("v"), F.lit(side).alias("side")) for side, c in (("red", "coalesce(r1, r2)"), ("blue", "coalesce(b1, b2)"))])
+        return union_all([df.where(f"{c} IS NOT NULL").select("id", F.col(f"{side}_v").alias("v"), "sku") for side, c in (("red", "coalesce(r1, r2)"), ("blue", "coalesce(b1, b2)"))])
 
-    return union_all([same, near, agree, hamming_pairs(alliances(left), alliances(right), ["side"], 2, narrow)]).distinct()
+    agree = agreement_keys(left, "lid").join(agreement_keys(right, "rid"), "key").select("lid", "rid")
+    here = [alliances(df).where("sku IS NOT NULL") for df in (left, right)]
+    anywhere = [alliances(df).withColumn("sku", F.lit("")) for df in (left, right)]
+    return union_all([agree, hamming_pairs(wholes(left), wholes(right), ["sku"], 4, wide), hamming_pairs(*here, ["sku"], 2, near), hamming_pairs(*anywhere, ["sku"], 2, narrow)]).distinct()
 
 
 def field_scores(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """pairs with a score in 0..1 per field of WEIGHTS (null where a side lacks it) and their weighted mean as score."""
-    cols = ["sku", "name", "rs", "bs", "r1", "r2", "b1", "b2", "red_v", "blue_v", "name_v"]
+    """pairs with a score in 0..1 per field of WEIGHTS (null where a side lacks it), their weighted mean as score, and swapped: whether they agree better with the colours of one side mixed up."""
+    cols = [*FIELDS, "red_v", "blue_v", "name_v"]
     both = (
         pairs.join(left.select(F.col("id").alias("lid"), F.col("known"), *[F.col(c).alias(f"l_{c}") for c in cols]), "lid")
         .join(right.select(F.col("id").alias("rid"), *[F.col(c).alias(f"r_{c}") for c in cols]), "rid")
     )
 
-    def dice(v: str, words: int, *teams: str) -> Column:
+    def dice(v: str, w: str, words: int, teams: tuple[tuple[str, str], ...] = ()) -> Column:
         """Dice of two bit vectors; where a side lacks a team, the share of the smaller vector."""
-        a, b = F.col(f"l_{v}"), F.col(f"r_{v}")
+        a, b = F.col(f"l_{v}"), F.col(f"r_{w}")
         n, m, both_ = bits(a, words), bits(b, words), shared_bits(a, b, words)
         lacking = F.lit(False)
-        for t in teams:
-            lacking = lacking | F.col(f"l_{t}").isNull() | F.col(f"r_{t}").isNull()
+        for t, u in teams:
+            lacking = lacking | F.col(f"l_{t}").isNull() | F.col(f"r_{u}").isNull()
         return F.when((n > 0) & (m > 0), F.when(lacking, both_ / F.least(n, m)).otherwise(2.0 * both_ / (n + m)))
 
-    def near_score(c: str) -> Column:
+    def near_score(c: str, d: str) -> Column:
         """1 for equal scores, 0.4 for scores one digit apart."""
-        a, b = F.col(f"l_{c}"), F.col(f"r_{c}")
+        a, b = F.col(f"l_{c}"), F.col(f"r_{d}")
         return F.when(a.isNotNull() & b.isNotNull(), F.when(a == b, 1.0).when(F.levenshtein(a.cast("string"), b.cast("string")) <= 1, 0.4).otherwise(0.0))
 
     tournament = F.when(F.col("l_sku").isNotNull() & F.col("r_sku").isNotNull(), (F.col("l_sku") == F.col("r_sku")).cast("double")).when(
         F.col("known") & (F.col("l_sku").isNull() != F.col("r_sku").isNull()), 0.0
     )
-    both = both.withColumns(
-        {
-            "red": dice("red_v", 2, "r1", "r2"), "blue": dice("blue_v", 2, "b1", "b2"), "name": F.when(F.col("l_name") == F.col("r_name"), 1.0).otherwise(0.8 * dice("name_v", 1) ** 2),
-            "red_score": near_score("rs"), "blue_score": near_score("bs"), "tournament": tournament,
-        }
-    )
-    there = sum((F.when(F.col(f).isNotNull(), w).otherwise(0.0) for f, w in WEIGHTS.items()), F.lit(0.0))
-    mean = sum((F.coalesce(F.col(f), F.lit(0.0)) * w for f, w in WEIGHTS.items()), F.lit(0.0)) / there
-    # Of what is missing nothing is known; it counts as half agreed with a small weight, so that one agreeing field is no proof.
+    sides = (("red", "r1", "r2", "rs"), ("blue", "b1", "b2", "bs"))
+    plain = {"name": F.when(F.col("l_name") == F.col("r_name"), 1.0).otherwise(0.8 * dice("name_v", "name_v", 1) ** 2), "tournament": tournament}
+    for tag, order in (("s_", (0, 1)), ("x_", (1, 0))):
+        for (c, *mine, score), k in zip(sides, order):
+            d, *theirs, other = sides[k]
+            plain[f"{tag}{c}"] = dice(f"{c}_v", f"{d}_v", 2, tuple(zip(mine, theirs)))
+            plain[f"{tag}{c}_score"] = near_score(score, other)
+    both = both.withColumns(plain)
     total = sum(WEIGHTS.values())
-    return both.withColumn("score", F.coalesce((mean * there + 0.5 * 0.2 * (total - there)) / (there + 0.2 * (total - there)), F.lit(0.0))).select("lid", "rid", *WEIGHTS, "score")
+
+    def mean(tag: str) -> Column:
+        field = {f: F.col(f if f in plain else tag + f) for f in WEIGHTS}
+        there = sum((F.when(c.isNotNull(), WEIGHTS[f]).otherwise(0.0) for f, c in field.items()), F.lit(0.0))
+        agreed = sum((F.coalesce(c, F.lit(0.0)) * WEIGHTS[f] for f, c in field.items()), F.lit(0.0))
+        # Of what is missing nothing is known; it counts as half agreed with a small weight, so that one agreeing field is no proof.
+        return (agreed + 0.5 * 0.2 * (total - there)) / (there + 0.2 * (total - there))
+
+    both = both.withColumns({"s_all": mean("s_"), "x_all": mean("x_")}).withColumn("swapped", F.col("x_all") > F.col("s_all"))
+    picked = [F.col(f).alias(f) if f in plain else F.when(F.col("swapped"), F.col(f"x_{f}")).otherwise(F.col(f"s_{f}")).alias(f) for f in WEIGHTS]
+    return both.select("lid", "rid", *picked, F.greatest("s_all", "x_all").alias("score"), "swapped")
 
 
 def fit_confidence(wrong: np.ndarray, best: np.ndarray, n_known: int, n_open: int, least: int = 100) -> np.ndarray:
@@ -245,33 +278,37 @@ def fit_confidence(wrong: np.ndarray, best: np.ndarray, n_known: int, n_open: in
 
 
 def match_official(matches: DataFrame, official: DataFrame, tournaments: DataFrame, bins: int = 50) -> DataFrame:
-    """(match_id, official_id, confidence, score and the fields' scores): of every match with null re_match_id its best candidate.
+    """(match_id, official_id, confidence, score, the fields' scores and swapped): of every match with null re_match_id its best candidate.
 
     Matches without a candidate do not come out. Of equal scores the lower
     official id wins. Null, blank or damaged fields lower what is known of a
-    pair and never exclude it within its tournament; where the tournament is
-    missing or wrong on a side, a pair is found by what `candidates` lists. Null
-    ids do not count; rows repeated with one id
-    count once, the last loaded; empty tables give an empty result; other
+    pair; a pair is scored if it agrees in what `candidates` lists, either way
+    round of the colours. Records equal in all fields are compared once and
+    their result goes to each of them. Null ids do not count; rows repeated with
+    one id count once, the last loaded; empty tables give an empty result; other
     columns are ignored, whatever their names.
     """
-    left = materialize(match_profiles(matches, tournaments), "left")
-    right = materialize(official_profiles(official), "right")
-    scored = materialize(field_scores(candidates(left, right), left, right).join(left.select(F.col("id").alias("lid"), "re_match_id"), "lid"), "scored")
-    top = F.max(F.struct("score", (-F.col("rid")).alias("neg"), *WEIGHTS)).alias("top")
-    best = scored.where("re_match_id IS NULL").groupBy("lid").agg(top)
-    wrong = scored.where("re_match_id IS NOT NULL AND rid <> re_match_id").groupBy("lid").agg(F.max("score").alias("score"))
+    left, members = (materialize(x, "left") for x in distinct_records(match_profiles(matches, tournaments), ["known", "re_match_id"]))
+    right, partners = (materialize(x, "right") for x in distinct_records(official_profiles(official), []))
+    left, right = materialize(_profiles(left), "left"), materialize(_profiles(right), "right")
+    partner = partners.join(right.select("copy", F.col("id").alias("partner")), "copy").select(F.col("id").alias("re_match_id"), "partner")
+    whose = left.select(F.col("id").alias("lid"), "n", "re_match_id").join(partner, "re_match_id", "left")
+    scored = materialize(field_scores(candidates(left, right), left, right).join(whose, "lid"), "scored")
+    top = F.max(F.struct("score", (-F.col("rid")).alias("neg"), *WEIGHTS, "swapped")).alias("top")
+    best = scored.where("re_match_id IS NULL").groupBy("lid").agg(top, F.first("n").alias("n"))
+    wrong = scored.where("re_match_id IS NOT NULL AND rid <> coalesce(partner, re_match_id)").groupBy("lid").agg(F.max("score").alias("score"), F.first("n").alias("n"))
 
     def histogram(df: DataFrame, c: str) -> np.ndarray:
-        n = np.zeros(bins)
-        for b, k in df.groupBy(F.least(F.floor(F.col(c) * bins), F.lit(bins - 1)).cast("int").alias("b")).count().collect():
-            n[b] = k
-        return n
+        got = np.zeros(bins)
+        for b, k in df.groupBy(F.least(F.floor(F.col(c) * bins), F.lit(bins - 1)).cast("int").alias("b")).agg(F.sum("n")).collect():
+            got[b] = k
+        return got
 
-    n_known, n_open = left.agg(F.count("re_match_id"), F.count_if(F.col("re_match_id").isNull())).first()
+    n_known, n_open = left.agg(F.coalesce(F.sum(F.when(F.col("re_match_id").isNotNull(), F.col("n"))), F.lit(0)), F.coalesce(F.sum(F.when(F.col("re_match_id").isNull(), F.col("n"))), F.lit(0))).first()
     curve = fit_confidence(histogram(wrong, "score"), histogram(best, "top.score"), n_known, n_open)
     at = F.least(F.floor(F.col("top.score") * bins), F.lit(bins - 1)).cast("int")
-    return best.select(
-        F.col("lid").alias("match_id"), (-F.col("top.neg")).alias("official_id"), F.element_at(F.array(*[F.lit(float(c)) for c in curve]), at + 1).alias("confidence"),
-        F.col("top.score").alias("score"), *[F.col(f"top.{f}").alias(f"{f}_sim") for f in WEIGHTS],
+    found = best.join(left.select(F.col("id").alias("lid"), "copy"), "lid").join(members.where("re_match_id IS NULL").select(F.col("id").alias("match_id"), "copy"), "copy")
+    return found.select(
+        "match_id", (-F.col("top.neg")).alias("official_id"), F.element_at(F.array(*[F.lit(float(c)) for c in curve]), at + 1).alias("confidence"),
+        F.col("top.score").alias("score"), *[F.col(f"top.{f}").alias(f"{f}_sim") for f in WEIGHTS], F.col("top.swapped").alias("swapped"),
     )

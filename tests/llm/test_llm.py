@@ -155,6 +155,27 @@ def test_candidates_hold_every_pair_with_enough_agreeing_fields(spark):
     assert {(k, k) for k in range(90)} <= got
 
 
+def test_colours_mixed_up(spark):
+    """Every fourth match holds its sides the other way round from its record."""
+    m, o, t = league(spark)
+    flip = F.col("id") % 4 == 1
+    swapped = m.select(*[c for c in m.columns if not c.startswith(("red", "blue"))], *[F.when(flip, F.col(b)).otherwise(F.col(a)).alias(a) for x, y in (("red", "blue"), ("blue", "red")) for a, b in ((f"{x}1", f"{y}1"), (f"{x}2", f"{y}2"), (f"{x}_score", f"{y}_score"))])
+    got = matching.match_official(swapped, o, t).collect()
+    right = [r for r in got if r["match_id"] == r["official_id"]]
+    assert len(right) >= 0.95 * 90 and all(r["swapped"] == (r["match_id"] % 4 == 1) for r in right)
+
+
+def test_copies_are_compared_once(spark):
+    """A third of all matches are one record under many ids: each gets its result, from one comparison."""
+    m, o, t = league(spark)
+    one = m.where("id = 101").limit(1)
+    many = m.unionByName(spark.range(20_000, 20_400).crossJoin(one.drop("id")).select(m.columns))
+    records, members = matching.distinct_records(matching.match_profiles(many, t), ["known", "re_match_id"])
+    assert members.count() == 491 and records.count() <= 91 and records.agg(F.sum("n")).first()[0] == 491
+    got = {r["match_id"]: (r["official_id"], round(r["score"], 9)) for r in matching.match_official(many, o, t).collect()}
+    assert {got[k] for k in range(20_000, 20_400)} == {got[101]} and got[101][0] == 101
+
+
 def test_confidence_without_bare_records():
     """Where every record has some candidate, the low scores tell how many have no partner."""
     rng = np.random.default_rng(0)
