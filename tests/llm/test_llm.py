@@ -159,7 +159,7 @@ def test_colours_mixed_up(spark):
     """Every fourth match holds its sides the other way round from its record."""
     m, o, t = league(spark)
     flip = F.col("id") % 4 == 1
-    swapped = m.select(*[c for c in m.columns if not c.startswith(("red", "blue"))], *[F.when(flip, F.col(b)).otherwise(F.col(a)).alias(a) for x, y in (("red", "blue"), ("blue", "red")) for a, b in ((f"{x}1", f"{y}1"), (f"{x}2", f"{y}2"), (f"{x}_score", f"{y}_score"))])
+    swapped = m.select(*[c for c in m.columns if "red" not in c and "blue" not in c], *[F.when(flip, F.col(b)).otherwise(F.col(a)).alias(a) for x, y in (("red", "blue"), ("blue", "red")) for a, b in [(p.format(x), p.format(y)) for p in ("{}1", "{}2", "{}_score", "ocr_{}_score")]])
     got = matching.match_official(swapped, o, t).collect()
     right = [r for r in got if r["match_id"] == r["official_id"]]
     assert len(right) >= 0.95 * 90 and all(r["swapped"] == (r["match_id"] % 4 == 1) for r in right)
