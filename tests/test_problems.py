@@ -56,12 +56,50 @@ def test_parked_block_is_judged_by_the_whole_source(spark, max_rows):
     assert {r["row_id"] for r in got if 1050 < r["row_id"] - 10_000 < 1950} == want
 
 
-def test_blocks_of_a_source_follow_its_own_rows(spark):
-    rows = spark.createDataFrame([(s, k * 0.2, k) for s, n in ((1, 101), (2, 3000)) for k in range(n)], "src long, t double, rid long")
-    cut = spikes.cut_by_time(rows, rows.groupBy("src").count(), 100, 1.0).where("core")
-    n = {(r["src"], r["block"]): r["count"] for r in cut.groupBy("src", "block").count().collect()}
-    assert sum(s == 1 for s, _ in n) == 2 and sum(s == 2 for s, _ in n) == 30
-    assert max(n.values()) <= 125 and sum(n.values()) == 3101
+def test_cut_into_blocks_changes_nothing(spark):
+    """Sources of very different sizes, one of them frozen over several blocks, one with all rows at one time."""
+    rows = walk(1, 900, 11) + walk(2, 150, 12) + walk(3, 40, 13)
+    rng = random.Random(14)
+    for r in rows[::37]:
+        r[4] += rng.choice((-70, 70, 300))
+    for r in rows[300:560]:
+        r[5] = 12.5
+    rows += [[90_000 + k, 4, "red1", 7.0, float(k % 7), 50.0, 1, "", ""] for k in range(200)] + rows[40:60]
+    df = spark.createDataFrame(rows, TRACK)
+    args = df, ["match_id", "slot"], "t", "row_id", {"x_in": spikes.TRACKS, "y_in": spikes.TRACKS}
+    whole = sorted(tuple(r) for r in spikes.flag_readings(*args).collect())
+    assert len(whole) > 260
+    for most in (50, 130, 400):
+        assert sorted(tuple(r) for r in spikes.flag_readings(*args, max_rows=most).collect()) == whole
+
+
+def test_blocks_are_of_equal_size_and_numbered_without_gaps(spark):
+    rows = spark.createDataFrame([(s, k * 0.2, k) for s, n in ((1, 101), (2, 3000)) for k in range(n)], "s0 long, t double, rid long")
+    n = {r["block"]: r["count"] for r in spikes.in_blocks(rows, ["s0"], 31).where("core").groupBy("block").count().collect()}
+    assert sum(n.values()) == 3101 and max(n.values()) <= 250 and sorted(n) == list(range(min(n), min(n) + len(n)))
+
+
+def test_sparse_part_decides(spark, monkeypatch):
+    """Spikes are the rows that the low-rank course does not hold: without that course none of this comes out."""
+    rows = walk(1, 400, 21)
+    want = set()
+    for k in range(30, 380, 50):
+        rows[k][4] += 60 if rows[k][4] < 70 else -60
+        want.add(rows[k][0])
+    df = spark.createDataFrame(rows, TRACK)
+
+    def found():
+        got = spikes.flag_readings(df, ["match_id", "slot"], "t", "row_id", {"x_in": spikes.TRACKS}).where("spike").collect()
+        return {r["row_id"] for r in got}
+
+    assert found() == want
+    x, one, n = np.array([r[4] for r in rows]), np.array([0]), np.array([400])
+    unit = spikes.usual_step(spikes.step_counts(x, np.zeros(400, int), 1))
+    flags = lambda: (spikes.flag_series(np.zeros(400, int), np.arange(400) * 0.2, x, spikes.TRACKS) & spikes.SPIKE).nonzero()[0]
+    assert np.abs(np.delete(x - spikes.low_rank(x, one, n, unit, spikes.TRACKS), np.arange(30, 380, 50))).max() < 3.5 * unit[0]
+    assert {rows[k][0] for k in flags()} == want
+    monkeypatch.setattr(spikes, "low_rank", lambda v, *a: np.full(len(v), v.mean()))
+    assert {rows[k][0] for k in flags()} != want
 
 
 def test_no_readings(spark):
