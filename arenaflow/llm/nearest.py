@@ -2,10 +2,12 @@
 
 Both tables go by (entity, time bucket) to the same partitions; right records
 near a bucket's edge are copied to the neighbouring bucket, so that an entity
-with a large part of all rows spreads over many tasks. Within a partition rows
-are sorted by time and one merge iterator walks them, batch by batch, holding
-the nearest right records on either side and the left rows that still wait for
-a right record to come, which are never more than the tolerance reaches.
+with a large part of all rows spreads over many tasks. Buckets that hold very
+many rows are cut into narrow ones. Within a partition rows are sorted by
+entity, bucket and time and one merge iterator walks them, batch by batch,
+holding the nearest right records on either side and the left rows that still
+wait for a right record to come, which are never more than the tolerance
+reaches.
 """
 
 from __future__ import annotations
@@ -14,16 +16,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Slack for binary fractions: times are decimal seconds.
 EPS = 1e-9
+#: At most so many buckets can be dense: each holds more than 1 / DENSE_BUCKETS of all rows, and DENSE_ROWS at least.
+DENSE_BUCKETS, DENSE_ROWS = 5_000, 200_000
 
 
 def nearest_by_time(
     left: DataFrame, right: DataFrame, entity: str, t: str, left_id: str, right_id: str,
-    tolerance: float = 0.4, bucket_s: float = 10.0,
+    tolerance: float = 0.4, bucket_s: float = 10.0, dense_rows: int = DENSE_ROWS,
 ) -> DataFrame:
     """(left_id, right_id, dt): of every left row the right row nearest in t, if within tolerance.
 
@@ -32,50 +37,64 @@ def nearest_by_time(
     once; an empty table on either side gives an empty result; dt is right t
     minus left t; other columns are ignored, whatever their names.
     """
-    width = max(bucket_s, 4 * tolerance)
+    width, narrow = max(bucket_s, 4 * tolerance), 4 * tolerance
 
     def side(df: DataFrame, rid: str, is_right: int) -> DataFrame:
         return df.select(
             F.col(entity).alias("e"), F.col(t).cast("double").alias("t"), F.col(rid).cast("long").alias("id"), F.lit(is_right).cast("byte").alias("side")
         ).where("e IS NOT NULL AND t IS NOT NULL AND NOT isnan(t)")
 
-    def bucket(c):
-        return F.floor(c / F.lit(width)).cast("long")
+    def bucket(c: Column, w: float) -> Column:
+        return F.floor(c / F.lit(w)).cast("long")
 
     reach = tolerance + 2 * EPS
-    lefts = side(left, left_id, 0).withColumn("b", bucket(F.col("t")))
-    # Explode the at most two buckets that the reach of a right row touches.
-    rights = side(right, right_id, 1).withColumn("b", F.explode(F.sequence(bucket(F.col("t") - reach), bucket(F.col("t") + reach))))
-    rows = (
-        lefts.unionByName(rights).withColumn("g", F.xxhash64("e", "b")).select("g", "t", "id", "side")
-        .repartition("g").sortWithinPartitions("g", "t", "id")
-    )
+    lefts, rights = side(left, left_id, 0), side(right, right_id, 1)
+    counts = lefts.unionByName(rights).groupBy("e", bucket(F.col("t"), width).alias("b")).count()
+    n_rows, most = counts.agg(F.sum("count"), F.max("count")).first()
+    limit = max(dense_rows, (n_rows or 0) // DENSE_BUCKETS)
+    low, high = F.col("t") - reach, F.col("t") + reach
+    wide = rights.withColumn("b", F.explode(F.sequence(bucket(low, width), bucket(high, width))))
+    rows = lefts.withColumn("b", bucket(F.col("t"), width)).unionByName(wide).withColumn("n", F.lit(0).cast("long"))
+    if most and most > limit:
+        # Bounded by the definition of dense: at most DENSE_BUCKETS rows.
+        dense = F.broadcast(counts.where(F.col("count") > limit).select("e", "b", F.lit(True).alias("dense")))
+        known = rows.join(dense, ["e", "b"], "left")
+        inside = lambda c: F.least(F.greatest(c, F.col("b") * width), (F.col("b") + 1) * width - EPS)
+        # Of a right row's reach the part in this bucket; a left row goes to one narrow bucket.
+        first, last = (bucket(inside(F.when(F.col("side") == 1, c).otherwise(F.col("t"))), narrow) for c in (low, high))
+        rows = known.withColumn("n", F.explode(F.when(F.col("dense"), F.sequence(first, last)).otherwise(F.array(F.lit(0).cast("long"))))).drop("dense")
+    rows = rows.select("e", "b", "n", "t", "id", "side").repartition("e", "b", "n").sortWithinPartitions("e", "b", "n", "t", "id")
     out = pa.schema([("l", pa.int64()), ("r", pa.int64()), ("dt", pa.float64())])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # rows carried over: waiting left rows and the last right row, in order
+        held: pa.Table | None = None  # rows carried over: waiting left rows and the last right rows, in order
         for b in batches:
-            now = [b.column(c).to_numpy(zero_copy_only=False) for c in ("g", "t", "id", "side")]
+            now = pa.Table.from_batches([b])
             if held is not None:
-                now = [np.concatenate(x) for x in zip(held, now)]
-            if not len(now[0]):
+                now = pa.concat_tables([held, now])
+            if not now.num_rows:
                 continue
-            pairs, held = _settle(*now, tolerance, last=False)
+            pairs, keep = _settle(*_columns(now), tolerance, last=False)
+            held = now.filter(pa.array(keep))
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs], schema=out)
-        if held is not None and len(held[0]):
-            pairs, _ = _settle(*held, tolerance, last=True)
+        if held is not None and held.num_rows:
+            pairs, _ = _settle(*_columns(held), tolerance, last=True)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs], schema=out)
 
     return rows.mapInArrow(merge, "l long, r long, dt double").select(F.col("l").alias(left_id if left_id != right_id else f"left_{left_id}"), F.col("r").alias(right_id if left_id != right_id else f"right_{right_id}"), "dt")
 
 
-def _settle(g: np.ndarray, t: np.ndarray, rid: np.ndarray, side: np.ndarray, tol: float, last: bool):
-    """Pairs of the left rows whose both neighbours are known; the rows to hold for the next batch.
+def _columns(tab: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the group (entity and bucket, both compared as they are), t, id and side of the rows."""
+    new = np.zeros(tab.num_rows, bool)
+    for c in ("e", "b", "n"):
+        a = tab.column(c).combine_chunks()
+        new[1:] |= np.asarray(pc.not_equal(a[1:], a[:-1]))
+    return np.cumsum(new), *[tab.column(c).to_numpy() for c in ("t", "id", "side")]
 
-    g is a hash of entity and bucket: equal runs of it are one group, sorted by
-    t. Two groups that share a hash are told apart by nothing, which for 64 bits
-    would need billions of groups in one partition.
-    """
+
+def _settle(g: np.ndarray, t: np.ndarray, rid: np.ndarray, side: np.ndarray, tol: float, last: bool):
+    """Pairs of the left rows whose both neighbours are known; which rows to hold for the next batch. Equal runs of g are one group, sorted by t."""
     n = len(g)
     at = np.arange(n)
     is_right = side == 1
@@ -124,4 +143,4 @@ def _settle(g: np.ndarray, t: np.ndarray, rid: np.ndarray, side: np.ndarray, tol
         lo = np.searchsorted(t[r], first_t, side="left")
         lo = np.searchsorted(t[r], t[r[max(lo - 1, 0)]], side="left")
         keep[r[lo:]] = True
-    return pairs, [x[keep] for x in (g, t, rid, side)]
+    return pairs, keep

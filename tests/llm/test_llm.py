@@ -72,6 +72,15 @@ def test_nearest(spark, batch, bucket):
     assert got == want
 
 
+def test_dense_buckets_are_cut(spark):
+    """One entity holds nearly all rows within a few seconds; narrow buckets give the same pairs."""
+    rng = random.Random(6)
+    a = spark.createDataFrame([(k, "hot", round(rng.uniform(-3, 9), 3)) for k in range(300)] + [(k, "other", k * 0.5) for k in range(300, 320)], "l long, who string, t double")
+    b = spark.createDataFrame([(k, "hot", round(rng.uniform(-3, 9), 3)) for k in range(700)] + [(k, "other", k * 0.5 + 0.1) for k in range(300, 320)], "r long, who string, t double")
+    pairs = [sorted(map(tuple, nearest.nearest_by_time(a, b, "who", "t", "l", "r", dense_rows=n).collect())) for n in (10**6, 50)]
+    assert pairs[0] == pairs[1] and len(pairs[0]) > 300
+
+
 def test_nearest_empty(spark):
     df = spark.createDataFrame([(1, 1, 1.0)], "l long, match_id long, t double")
     other = df.withColumnRenamed("l", "r")
