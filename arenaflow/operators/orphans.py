@@ -1,9 +1,11 @@
 """Problem 3: references to records that are missing, deleted or arrive later.
 
-References are first aggregated to one row per key, so that the check against
-the targets joins distinct keys and knows no skew. Only keys found wanting go
-back to the referring rows: those of heavy keys by a broadcast whose size is
-bounded by the definition of heavy, the others by a shuffle join.
+References are first aggregated per key and period, which combines before it
+shuffles. The few keys that hold a large share of all references are checked
+against their targets by broadcast, the others by a shuffle join, and the counts
+of both are united. Rows are asked for again only where single references are
+wanted, and then only those of keys found wanting: by broadcast where the keys
+are few enough, else the heavy ones by broadcast and the others by shuffle.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import stripped, union_all
+from ..runtime import fits_broadcast, materialize, stripped, union_all
 
 #: At most so many keys can be heavy: each holds more than 1 / HEAVY_KEYS of the references.
 HEAVY_KEYS = 5_000
@@ -39,6 +41,24 @@ def targets(df: DataFrame, ref_fields: list[str], id_: str = "id", loaded_at: st
     return per_id.withColumn("ref_field", F.explode(F.array(*[F.lit(f) for f in ref_fields])))
 
 
+def _checked(refs: DataFrame, targets_: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(checked, heavy): references per field, key and period with the count n, the first and last loaded_at, and the targets' first_at, gone and known; the keys that count as heavy."""
+    by = ["ref_field", "key"]
+    period = F.date_format("loaded_at", "yyyy-MM").alias("period")
+    groups = materialize(refs.groupBy(*by, period).agg(F.count("*").alias("n"), F.min("loaded_at").alias("first_ref"), F.max("loaded_at").alias("last_ref")), "groups")
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    heavy = groups.groupBy(*by).agg(F.sum("n").alias("all")).where(F.col("all") > max(10_000, total // HEAVY_KEYS)).select(*by)
+    known = targets_.withColumn("known", F.lit(True))
+    # heavy is bounded by its definition, and so are its targets: one a key.
+    few = groups.join(F.broadcast(heavy), by).join(F.broadcast(known.join(F.broadcast(heavy), by, "left_semi")), by, "left")
+    many = groups.join(F.broadcast(heavy), by, "left_anti").join(known, by, "left")
+    return few.unionByName(many), heavy
+
+
+#: Whether all references of a group are missing or deleted, or its first one is late.
+STATE = "CASE WHEN known IS NULL THEN 'missing' WHEN gone THEN 'deleted' WHEN first_at > first_ref THEN 'late' END"
+
+
 def orphans(refs: DataFrame, targets_: DataFrame) -> DataFrame:
     """(ref_field, row_key, state, loaded_at), one per orphan reference; state is missing, deleted or late.
 
@@ -48,27 +68,39 @@ def orphans(refs: DataFrame, targets_: DataFrame) -> DataFrame:
     once; an empty reference table gives an empty result, an empty target table
     makes all references missing.
     """
-    total = refs.count()
-    heavy_rows = max(10_000, total // HEAVY_KEYS)
-    keys = refs.groupBy("ref_field", "key").agg(F.count("*").alias("n"), F.min("loaded_at").alias("first_ref"))
-    state = F.when(F.col("t.key").isNull(), "missing").when(F.col("t.gone"), "deleted").when(F.col("t.first_at") > F.col("k.first_ref"), "late")
-    wanting = (
-        keys.alias("k").join(targets_.alias("t"), (F.col("k.ref_field") == F.col("t.ref_field")) & (F.col("k.key") == F.col("t.key")), "left")
-        .select("k.ref_field", "k.key", "k.n", state.alias("state"), "t.first_at").where("state IS NOT NULL")
-    )
-    heavy = wanting.where(F.col("n") > heavy_rows)
-    light = wanting.where(F.col("n") <= heavy_rows)
     by = ["ref_field", "key"]
-    parts = [refs.join(F.broadcast(heavy.drop("n")), by)]
-    # Rows of heavy keys, wanting or not, stay out of the shuffle.
-    all_heavy = keys.where(F.col("n") > heavy_rows).select(*by)
-    parts.append(refs.join(F.broadcast(all_heavy), by, "left_anti").join(light.drop("n"), by))
-    found = union_all(parts).where((F.col("state") != "late") | (F.col("loaded_at") < F.col("first_at")))
+    checked, heavy = _checked(refs, targets_)
+    wanting = materialize(checked.withColumn("state", F.expr(STATE)).where("state IS NOT NULL").select(*by, "state", "first_at").distinct(), "wanting")
+    if fits_broadcast(wanting):
+        found = refs.join(F.broadcast(wanting), by)
+    else:
+        # Rows of heavy keys, wanting or not, stay out of the shuffle.
+        found = refs.join(F.broadcast(wanting.join(F.broadcast(heavy), by, "left_semi")), by).unionByName(
+            refs.join(F.broadcast(heavy), by, "left_anti").join(wanting.join(F.broadcast(heavy), by, "left_anti"), by)
+        )
+    found = found.where((F.col("state") != "late") | (F.col("loaded_at") < F.col("first_at")))
     return found.select("ref_field", "row_key", "state", "loaded_at").distinct()
 
 
-def league_orphans(matches: DataFrame, videos: DataFrame, tournaments: DataFrame) -> DataFrame:
-    """The orphans of matches.video_id, videos.source_id and matches.event_id, with their month as period."""
+def orphan_report(refs: DataFrame, targets_: DataFrame) -> DataFrame:
+    """(ref_field, period, state, n_refs, n_keys): orphan references and their distinct keys per field, period and state, from the counts per key and period; every referring row counts, repeated ones too.
+
+    Rows are read again only for keys whose target arrived in the middle of a
+    period. Empty tables and null loaded_at as in `orphans`; a null loaded_at has
+    a null period.
+    """
+    by = ["ref_field", "key"]
+    checked = _checked(refs, targets_)[0].withColumn("state", F.expr(STATE)).where("state IS NOT NULL")
+    split = (F.col("state") == "late") & (F.col("last_ref") >= F.col("first_at"))
+    whole = checked.where(~split).select(*by, "period", "state", "n")
+    cut = checked.where(split).select(*by, "period", "first_at")
+    rows = refs.withColumn("period", F.date_format("loaded_at", "yyyy-MM")).join(cut, [*by, "period"]).where("loaded_at < first_at")
+    part = rows.groupBy(*by, "period").agg(F.count("*").alias("n")).withColumn("state", F.lit("late"))
+    return whole.unionByName(part).groupBy("ref_field", "period", "state").agg(F.sum("n").alias("n_refs"), F.count("*").alias("n_keys"))
+
+
+def league_references(matches: DataFrame, videos: DataFrame, tournaments: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(references, targets) of matches.video_id, videos.source_id and matches.event_id."""
     refs = union_all(
         [
             references(matches, "matches.video_id", "id", "video_id"),
@@ -77,7 +109,12 @@ def league_orphans(matches: DataFrame, videos: DataFrame, tournaments: DataFrame
         ]
     )
     known = targets(videos, ["matches.video_id", "videos.source_id"]).unionByName(targets(tournaments, ["matches.event_id"]))
-    return orphans(refs, known).withColumn("period", F.date_format("loaded_at", "yyyy-MM"))
+    return materialize(refs, "refs"), known
+
+
+def league_orphans(matches: DataFrame, videos: DataFrame, tournaments: DataFrame) -> DataFrame:
+    """The orphans of matches.video_id, videos.source_id and matches.event_id, with their month as period."""
+    return orphans(*league_references(matches, videos, tournaments)).withColumn("period", F.date_format("loaded_at", "yyyy-MM"))
 
 
 def orphan_counts(found: DataFrame) -> DataFrame:

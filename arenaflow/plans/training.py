@@ -36,6 +36,10 @@ def p3_counts(spark: SparkSession, d: str) -> DataFrame:
     return orphans.orphan_counts(_orphans(spark, d).select("ref_field", "row_key", "state", "period").distinct())
 
 
+def p3_report(spark: SparkSession, d: str) -> DataFrame:
+    return orphans.orphan_report(*orphans.league_references(table(spark, d, "matches"), table(spark, d, "videos"), table(spark, d, "tournaments")))
+
+
 def _grid(spark: SparkSession, d: str) -> DataFrame:
     return regrid.regular_grid(table(spark, d, "score_timeline"), "match_id", "t", "row_id", ["red_score", "blue_score"], 120)
 
@@ -48,7 +52,7 @@ def p6_grid(spark: SparkSession, d: str) -> DataFrame:
     return _grid(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_flags, p3_found, p3_counts, p6_found, p6_grid)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_flags, p3_found, p3_counts, p3_report, p6_found, p6_grid)}
 
 _ORPHANS_SQL = """
 WITH latest AS (
@@ -60,16 +64,17 @@ WITH latest AS (
 ), t AS (
   SELECT trim(id, ' \t') AS key, 'v' AS kind, min(loaded_at) AS first_at, arg_max(deleted_at IS NOT NULL, loaded_at) AS gone FROM videos GROUP BY 1
   UNION ALL SELECT CAST(id AS VARCHAR), 'e', min(loaded_at), arg_max(deleted_at IS NOT NULL, loaded_at) FROM tournaments GROUP BY 1
-), found AS (
-  SELECT DISTINCT ref_field, row_key,
+), each AS (
+  SELECT ref_field, row_key, r.key,
     CASE WHEN t.key IS NULL THEN 'missing' WHEN t.gone THEN 'deleted' WHEN t.first_at > r.loaded_at THEN 'late' END AS state, strftime(r.loaded_at, '%Y-%m') AS period
   FROM refs r LEFT JOIN t ON r.key = t.key AND t.kind = CASE WHEN ref_field = 'matches.event_id' THEN 'e' ELSE 'v' END
   WHERE r.key IS NOT NULL AND r.key <> ''
-)""".replace("\t", "'||chr(9)||'")
+), found AS (SELECT DISTINCT ref_field, row_key, state, period FROM each)""".replace("\t", "'||chr(9)||'")
 
 SQL = {
     "p3_found": _ORPHANS_SQL + " SELECT * FROM found WHERE state IS NOT NULL",
     "p3_counts": _ORPHANS_SQL + " SELECT ref_field, state, period, count(*) AS n_refs, count(DISTINCT row_key) AS n_rows FROM found WHERE state IS NOT NULL GROUP BY 1, 2, 3",
+    "p3_report": _ORPHANS_SQL + " SELECT ref_field, period, state, count(*) AS n_refs, count(DISTINCT key) AS n_keys FROM each WHERE state IS NOT NULL GROUP BY 1, 2, 3",
     "p6_found": """
 WITH s AS (SELECT DISTINCT match_id, CAST(floor(t) AS BIGINT) AS g FROM score_timeline
            WHERE match_id IS NOT NULL AND t >= 0 AND t < 120 AND (red_score IS NOT NULL OR blue_score IS NOT NULL))

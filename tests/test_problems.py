@@ -146,6 +146,24 @@ def test_heavy_key_goes_by_broadcast(spark):
     assert got.count() == n * 2 - n // 3 and got.where("state = 'late'").count() == 1
 
 
+@pytest.mark.parametrize("heavy", [5_000, 1])
+def test_orphan_report_counts_what_orphans_lists(spark, monkeypatch, heavy):
+    """Hot keys checked by broadcast or not, targets that arrive in the middle of a period, null times and nulls in any column."""
+    monkeypatch.setattr(orphans, "HEAVY_KEYS", heavy)
+    rng = random.Random(heavy)
+    at = lambda: rng.choice((DAY, DAY + dt.timedelta(days=9), LATER, None))
+    rows = [(k, "hot" if k % 3 == 0 else rng.choice((None, " ", f"k{rng.randrange(30)}")), at()) for k in range(33_000 if heavy > 1 else 600)]
+    refs = orphans.references(spark.createDataFrame(rows, "id long, video_id string, loaded_at timestamp_ntz"), "f", "id", "video_id")
+    ids = [(f"k{k}", rng.choice((DAY, DAY + dt.timedelta(days=5), LATER, None)), rng.choice((None, None, DAY))) for k in range(0, 30, 2)] + [("hot", DAY + dt.timedelta(days=5), None), (None, DAY, None)]
+    known = orphans.targets(spark.createDataFrame(ids, "id string, loaded_at timestamp_ntz, deleted_at timestamp_ntz"), ["f"])
+    found = orphans.orphans(refs, known).toPandas()
+    found["period"] = found["loaded_at"].dt.strftime("%Y-%m")
+    want = {k if k[0] == k[0] else (None, k[1]): n for k, n in found.groupby(["period", "state"], dropna=False).size().items()}
+    got = {(r["period"], r["state"]): r["n_refs"] for r in orphans.orphan_report(refs, known).collect()}
+    assert got == {(None if p != p else p, s): n for (p, s), n in want.items()} and len(got) >= 5
+    assert orphans.orphan_report(refs.limit(0), known).count() == 0
+
+
 SCORE = "row_id long, match_id long, t double, red_score int, blue_score int, src string, bin int"
 
 
