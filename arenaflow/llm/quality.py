@@ -2,10 +2,15 @@
 
 Counts come from built-in functions in one scan. Per language, a robust mean and
 covariance of the statistics over prose are found by concentration steps: start
-at medians and absolute deviations, keep what is near, estimate again. Each
-step is one aggregation over all documents. The distance of a document is its
-Mahalanobis distance under them, with the sampling noise of short texts added,
-and splits into the contributions of the statistics.
+at medians and quartiles, keep what is near, estimate again. Each step is one
+aggregation over all documents. A short text's statistics are noisier than a
+long one's: the squared deviations of what is kept are split by regression into
+a part that all documents share and a part that falls with the length, so that
+each document has a covariance of its own. Statistics that hardly vary among
+prose keep a share of the variance they have over the whole corpus, and
+languages with few documents lean on all languages together. The distance of a
+document is its Mahalanobis distance under these, and splits into the
+contributions of the statistics.
 """
 
 from __future__ import annotations
@@ -27,25 +32,36 @@ COMMON_WORDS = {
     "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se ce il sont l d s n qu avec son à aux mais comme on ou si leur elle ont été cette ces lui y où quand après sans contre depuis rien tout parce pourquoi dit chez entre",
     "es": "de la que el en y a los del se las por un para con no una su al lo como más pero sus le ya o este sí porque esta entre cuando muy sin sobre también me hasta hay donde quien desde todo nos durante uno ni contra otros si dice nada después qué por fue es era ha",
 }
+# Three-letter tags of these languages.
+LONG_TAGS = {"eng": "en", "deu": "de", "ger": "de", "fra": "fr", "fre": "fr", "spa": "es"}
 
 STATS = ["common_ratio", "mean_word_len", "symbol_ratio", "digit_ratio", "bare_ratio", "marked_ratio", "field_ratio", "repeat_ratio", "end_punct_ratio"]
-#: Deviations that are never counted against a document: the least standard deviation of each statistic.
-LEAST_SD = {"common_ratio": 0.05, "mean_word_len": 0.8, "symbol_ratio": 0.015, "digit_ratio": 0.05, "bare_ratio": 0.11, "marked_ratio": 0.12, "field_ratio": 0.05, "repeat_ratio": 0.05, "end_punct_ratio": 0.4}
-#: Variance of each statistic that one word of text adds; divided by the words of the document.
-WORD_VARIANCE = {"common_ratio": 0.12, "mean_word_len": 8.0, "symbol_ratio": 0.01, "digit_ratio": 0.02, "bare_ratio": 0.1, "marked_ratio": 0.1, "field_ratio": 0.02, "repeat_ratio": 0.02, "end_punct_ratio": 0.0}
+#: What each statistic is a mean over.
+LENGTHS = ["n_words", "n_words", "n_chars", "n_chars", "n_words", "n_words", "n_words", "n_words", "n_lines"]
+#: Share of a statistic's variance over the whole corpus that is no sign against a document.
+SHRINKAGE = 0.1
+#: Documents that all languages together count as in the model of each.
+PRIOR_DOCS = 5 * len(STATS)
 #: A list mark: bullet, hyphen, box, or a number or letter with a stop or bracket.
 MARKER = r"^\s*([*•·▪◦‣+-]|\[[ xX]?\]|\(?([0-9]{1,3}|[a-zA-Z])[.)])\s"
-#: Squared distance beyond which a text is no running prose.
-LIMIT = 14.0
-STEPS = 4
+#: Squared distance up to which a document takes part in the next step, and beyond which a text is no running prose: the
+#: 95 % and 99.9 % quantiles of the chi-squared distribution of as many degrees of freedom as there are statistics.
+NEAR, LIMIT = 16.92, 27.88
+STEPS = 5
 
 
 def _ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 
 
-def text_statistics(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document with a text that is not null or blank: doc_id, language (of the four whose common words fill most of the text; en if none occurs), counts and STATS.
+def text_statistics(df: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str | None = "lang") -> DataFrame:
+    """One row per document with a text that is not null or blank: doc_id, language, counts and STATS.
+
+    language: a tag in `lang` (its first two or three letters) that is none of
+    COMMON_WORDS stands, so that a further language is judged by its own
+    documents; its common words are those of the list that fits it best. Else
+    the language whose common words fill most of the text, whatever the tag
+    says, as tags are often wrong; if none occurs, the tagged one, else en.
 
     n_chars counts characters but white space, n_words runs of letters, n_lines
     lines that are not blank. common_ratio: words that are common in the
@@ -58,7 +74,10 @@ def text_statistics(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     punctuation. Texts without words have zeros. Repeated documents come out
     once each; other columns are ignored, whatever their names.
     """
-    d = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(F.col("text").rlike(r"\S"))
+    tag = F.lower(F.regexp_extract(F.col(lang).cast("string"), r"^\s*([A-Za-z]{2,3})(?![A-Za-z])", 1)) if lang in df.columns else F.lit("")
+    for long, short in LONG_TAGS.items():
+        tag = F.when(tag == long, short).otherwise(tag)
+    d = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(tag, F.lit("")).alias("tag")).where(F.col("text").rlike(r"\S"))
     low = F.lower("text")
     d = d.withColumns({"words": F.regexp_extract_all(low, F.lit(r"[\p{L}\p{M}]+"), F.lit(0)), "lines": F.filter(F.split("text", r"[\r\n]+"), lambda x: x.rlike(r"\S"))})
     squeezed = F.regexp_replace("text", r"\s+", "")
@@ -80,7 +99,9 @@ def text_statistics(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -
         }
     )
     most = F.greatest(*[F.col(f"c_{lang}") for lang in COMMON_WORDS])
-    language = F.coalesce(*[F.when(F.col(f"c_{lang}") == most, F.lit(lang)) for lang in COMMON_WORDS])
+    known = F.col("tag").isin(*COMMON_WORDS)
+    best = F.coalesce(*[F.when(F.col(f"c_{x}") == most, F.lit(x)) for x in COMMON_WORDS])
+    language = F.when((F.col("tag") != "") & ~known, F.col("tag")).when((most == 0) & known, F.col("tag")).otherwise(best)
     return d.select(
         "doc_id", language.alias("language"), "n_chars", "n_words", "n_lines",
         _ratio(most, F.col("n_words")).alias("common_ratio"), _ratio(F.col("n_letters"), F.col("n_words")).alias("mean_word_len"),
@@ -95,63 +116,102 @@ def _common(lang: str) -> Column:
     return F.size(F.filter("words", lambda w: w.isin(words)))
 
 
-#: Per language the centre, the variances and the inverse correlation of its prose.
+#: Per language the centre, the covariance that all its prose shares, and the variance that one unit of length adds; "" is all languages.
 Models = dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
-def _parts(x: np.ndarray, n_words: np.ndarray, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
-    """The statistics' parts of the squared distance of each row; the noise of the row's length adds to the variances."""
-    centre, spread, inverse = model
-    noise = np.array([WORD_VARIANCE[s] for s in STATS]) / np.maximum(n_words, 1)[:, None]
-    z = (x - centre) / np.sqrt(spread + np.array([LEAST_SD[s] for s in STATS]) ** 2 + noise)
-    return z * (z @ inverse)
+def _parts(x: np.ndarray, length: np.ndarray, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """The statistics' parts of the squared distance of each row, under the covariance for its length."""
+    centre, shared, noise = model
+    own = np.broadcast_to(shared, (len(x), *shared.shape)).copy()
+    at = np.arange(x.shape[1])
+    own[:, at, at] += noise / np.maximum(length, 1)
+    off = x - centre
+    return off * np.linalg.solve(own, off[:, :, None])[:, :, 0]
 
 
 def _columns(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     x = np.stack([b.column(s).to_numpy() for s in STATS], axis=1)
-    return x, b.column("n_words").to_numpy().astype(float), b.column("language").to_numpy(zero_copy_only=False)
+    return x, np.stack([b.column(c).to_numpy() for c in LENGTHS], axis=1).astype(float), b.column("language").to_numpy(zero_copy_only=False)
 
 
-def prose_models(stats: DataFrame) -> Models:
-    """Robust mean, variances and inverse correlation of the statistics of each language's prose."""
+def correlation(cov: np.ndarray) -> np.ndarray:
+    sd = np.sqrt(np.maximum(np.diag(cov), 1e-18))
+    corr = cov / np.outer(sd, sd)
+    np.fill_diagonal(corr, 1.0)
+    return corr
+
+
+class _Sums:
+    """What the moments need of the documents kept, as one vector that adds up: n, x, xx', and with u = 1 / length: u, uu, xu, xxu."""
+
     k = len(STATS)
-    names = ["n", *[f"s{i}" for i in range(k)], *[f"p{i}_{j}" for i in range(k) for j in range(i, k)]]
-    upper = np.triu_indices(k)
-    start = stats.groupBy("language").agg(*[F.percentile_approx(s, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(s) for s in STATS])
-    # One row per language of COMMON_WORDS.
-    models: Models = {}
-    for r in start.collect():
+    size = 1 + k + k * k + 4 * k
+
+    @classmethod
+    def of(cls, x: np.ndarray, length: np.ndarray) -> np.ndarray:
+        u = 1 / np.maximum(length, 1)
+        return np.concatenate([[len(x)], x.sum(0), (x.T @ x).ravel(), u.sum(0), (u * u).sum(0), (x * u).sum(0), (x * x * u).sum(0)])
+
+    @classmethod
+    def model(cls, total: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Centre, shared covariance and noise of the summed documents. floor: variances added to the shared covariance."""
+        k, n = cls.k, total[0]
+        mean = total[1 : k + 1] / n
+        cov = total[k + 1 : k + 1 + k * k].reshape(k, k) / n - np.outer(mean, mean)
+        u, uu, xu, xxu = (total[1 + k + k * k + i * k :][:k] / n for i in range(4))
+        var = np.maximum(np.diag(cov), 0)
+        # Regression of the squared deviations on 1 / length.
+        spread = np.maximum(uu - u * u, 1e-15)
+        noise = np.maximum((xxu - 2 * mean * xu + mean * mean * u - var * u) / spread, 0)
+        shared = var - noise * u
+        noise, shared = np.where(shared < 0, var / np.maximum(u, 1e-12), noise), np.maximum(shared, 0)
+        return mean, correlation(cov) * np.sqrt(np.outer(shared, shared)) + np.diag(floor), noise
+
+
+def prose_models(stats: DataFrame) -> Models:
+    """Robust centre, shared covariance and length noise of the statistics of each language's prose."""
+    quartiles = [F.percentile_approx(s, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(s) for s in STATS]
+    # One row per language: a tag has two or three letters.
+    start = stats.groupBy("language").agg(F.count("*").alias("n"), *quartiles).collect()
+    if not start:
+        return {}
+    whole = stats.agg(*quartiles, *[F.var_pop(s).alias(f"{s}_var") for s in STATS]).first()
+    # A statistic that is the same in all documents tells nothing.
+    floor = np.maximum(SHRINKAGE * np.array([whole[f"{s}_var"] for s in STATS]), 1e-9)
+
+    def rough(r) -> tuple[np.ndarray, np.ndarray]:
         q = np.array([r[s] for s in STATS])
-        models[r["language"]] = (q[:, 1], ((q[:, 2] - q[:, 0]) / 1.349) ** 2, np.eye(k))
+        return q[:, 1], ((q[:, 2] - q[:, 0]) / 1.349) ** 2
+
+    models: Models = {}
+    for r in start:
+        own = r["n"] / (r["n"] + PRIOR_DOCS)
+        centre, var = (own * a + (1 - own) * b for a, b in zip(rough(r), rough(whole)))
+        models[r["language"]] = centre, np.diag(var + floor), np.zeros(len(STATS))
 
+    names = [f"m{i}" for i in range(_Sums.size)]
     for _ in range(STEPS):
 
         def moments(batches: Iterator[pa.RecordBatch], now: Models = models) -> Iterator[pa.RecordBatch]:
             total: dict[str, np.ndarray] = {}
             for b in batches:
-                x, n, lang = _columns(b)
+                x, length, lang = _columns(b)
                 for name in set(lang.tolist()):
                     rows = lang == name
-                    y = x[rows]
-                    y = y[_parts(y, n[rows], now[name]).sum(axis=1) <= LIMIT]
-                    total[name] = total.get(name, 0) + np.concatenate([[len(y)], y.sum(axis=0), (y.T @ y)[upper]])
+                    y, m = x[rows], length[rows]
+                    near = _parts(y, m, now[name]).sum(axis=1) <= NEAR
+                    total[name] = total.get(name, 0) + _Sums.of(y[near], m[near])
             if total:
                 cols = [pa.array(list(total))] + [pa.array(c) for c in np.stack(list(total.values())).T]
                 yield pa.RecordBatch.from_arrays(cols, names=["language", *names])
 
-        part = stats.select("language", "n_words", *STATS).mapInArrow(moments, "language string, " + ", ".join(f"{c} double" for c in names))
-        for r in part.groupBy("language").agg(*[F.sum(c).alias(c) for c in names]).collect():
-            if r["n"] < 5 * k:
-                continue
-            mean = np.array([r[f"s{i}"] for i in range(k)]) / r["n"]
-            cov = np.zeros((k, k))
-            cov[upper] = [r[f"p{i}_{j}"] / r["n"] for i in range(k) for j in range(i, k)]
-            cov = np.triu(cov) + np.triu(cov, 1).T - np.outer(mean, mean)
-            var = np.maximum(np.diag(cov), 0)
-            full = np.sqrt(var + np.array([LEAST_SD[s] for s in STATS]) ** 2)
-            corr = cov / np.outer(full, full)
-            np.fill_diagonal(corr, 1.0)
-            models = {**models, r["language"]: (mean, var, np.linalg.inv(corr))}
+        part = stats.select("language", *dict.fromkeys(LENGTHS), *STATS).mapInArrow(moments, "language string, " + ", ".join(f"{c} double" for c in names))
+        sums = {r["language"]: np.array([r[c] for c in names]) for r in part.groupBy("language").agg(*[F.sum(c).alias(c) for c in names]).collect()}
+        every = sum(sums.values())
+        if every[0] == 0:
+            break
+        models = {name: _Sums.model(sums[name] + PRIOR_DOCS * every / every[0], floor) for name in models}
     return models
 
 
@@ -161,11 +221,11 @@ def with_distance(stats: DataFrame, models: Models) -> DataFrame:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, n, lang = _columns(b)
+            x, length, lang = _columns(b)
             parts = np.zeros_like(x)
             for name in set(lang.tolist()):
                 rows = lang == name
-                parts[rows] = _parts(x[rows], n[rows], models[name])
+                parts[rows] = _parts(x[rows], length[rows], models[name])
             added = [pa.array(c) for c in parts.T] + [pa.array(parts.sum(axis=1))]
             yield pa.RecordBatch.from_arrays([*b.columns, *added], names=[*b.schema.names, *extra])
 
@@ -173,7 +233,7 @@ def with_distance(stats: DataFrame, models: Models) -> DataFrame:
     return stats.mapInArrow(measure, kind)
 
 
-def text_quality(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", limit: float = LIMIT) -> DataFrame:
+def text_quality(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str | None = "lang", limit: float = LIMIT) -> DataFrame:
     """text_statistics with the distance from prose, its parts and is_prose. An empty table gives an empty result."""
-    stats = materialize(text_statistics(documents, text, doc_id), "stats")
+    stats = materialize(text_statistics(documents, text, doc_id, lang), "stats")
     return with_distance(stats, prose_models(stats)).withColumn("is_prose", F.col("distance2") <= limit)

@@ -389,6 +389,47 @@ def test_prose_and_junk(spark):
     assert quality.text_quality(df.limit(0)).count() == 0
 
 
+def stats_of(spark, x, length=100, language="en"):
+    cols = ["n_chars", "n_words", "n_lines", *quality.STATS]
+    rows = [(k, language, 5 * length, length, 9, *map(float, r)) for k, r in enumerate(x)]
+    return spark.createDataFrame(rows, "doc_id long, language string, " + ", ".join(f"{c} {'long' if c[:2] == 'n_' else 'double'}" for c in cols))
+
+
+def test_correlation_decides(spark, monkeypatch):
+    """A document whose two statistics are usual each but not together is found by the covariance, and lost without it."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 0.01, (1500, len(quality.STATS)))
+    z = rng.normal(size=1500)
+    x[:, 0], x[:, 1] = 0.4 + 0.1 * z + rng.normal(0, 0.01, 1500), 5 + z + rng.normal(0, 0.1, 1500)
+    x[0, :2] = 0.4 + 0.22, 5 - 2.2
+    stats = stats_of(spark, x)
+    far = lambda: {r["doc_id"] for r in quality.with_distance(stats, quality.prose_models(stats)).where(f"distance2 > {quality.LIMIT}").collect()}
+    assert 0 in far() and len(far()) < 8
+    monkeypatch.setattr(quality, "correlation", lambda cov: np.eye(len(cov)))
+    assert 0 not in far()
+
+
+def test_noise_of_short_texts_is_estimated():
+    """Statistics that are means over the length: the split finds the shared variance and that of one unit."""
+    rng = np.random.default_rng(4)
+    length = rng.integers(5, 300, (40_000, len(quality.STATS))).astype(float)
+    x = rng.normal(0, 0.1, length.shape) + rng.normal(0, 1, length.shape) / np.sqrt(length)
+    mean, shared, noise = quality._Sums.model(quality._Sums.of(x, length), np.zeros(len(quality.STATS)))
+    assert np.abs(mean).max() < 0.01 and np.abs(np.diag(shared) - 0.01).max() < 0.002 and np.abs(noise - 1).max() < 0.1
+
+
+def test_a_further_language_is_judged_by_its_own_documents(spark):
+    rng = random.Random(9)
+    base = "il comitato si riunisce nella vecchia sala mentre nessuno sapeva cosa direbbe la relazione sul ponte della citta".split()
+    text = lambda n: " ".join(rng.choice(base) for _ in range(n)) + "."
+    rows = [(k, "it-IT", " ".join(text(14) for _ in range(rng.randrange(2, 8)))) for k in range(150)]
+    rows += [(1000 + k, rng.choice(("en", "eng", "DE", None)), " ".join(rng.choice(PROSE) for _ in range(rng.randrange(2, 8)))) for k in range(300)]
+    rows += [(5000, "it", "- uno\n- due\n- tre 3\n- quattro\n- cinque")]
+    q = quality.text_quality(spark.createDataFrame(rows, "doc_id long, lang string, text string")).toPandas().set_index("doc_id")
+    assert set(q.language[q.index < 150]) == {"it"} and set(q.language[(q.index >= 1000) & (q.index < 5000)]) == {"en"}
+    assert q.is_prose[q.index < 5000].mean() > 0.99 and not q.is_prose[5000]
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_against_sql(spark, name):
