@@ -21,15 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import materialize, union_all
+from ..runtime import fits_broadcast, materialize, union_all
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: how the vocabulary's texts are split before merging.
 SPLIT_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Documents that one flight phase holds.
 BUCKET = 5_000
-#: Rows of the target table that a mixture accepts; they are broadcast.
-MOST_SOURCES = 10_000
 
 _encoders: dict[str, object] = {}
 
@@ -106,7 +104,7 @@ def landing(prob: list[float], size: list[float]) -> list[float]:
     return out
 
 
-def _bucket_flight(last: bool, level: int, seed: int):
+def _bucket_flight(level: int, seed: int, bucket: int):
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("doc_id", kind="stable")
         rng = random.Random(f"{seed}/{level}/{key}")
@@ -115,28 +113,27 @@ def _bucket_flight(last: bool, level: int, seed: int):
         rows = rows.iloc[order].reset_index(drop=True)
         size = rows["tokens"].astype(float).tolist()
         p = flight(rows["p"].tolist(), size, rng)
-        return rows.assign(p=landing(p, size) if last else p)[["doc_id", "source", "tokens", "p"]]
+        # The source's last bucket decides.
+        return rows.assign(p=landing(p, size) if rows["n"].iloc[0] <= bucket else p)[["doc_id", "source", "tokens", "n", "p"]]
 
     return run
 
 
-def _cube(units: DataFrame, sizes: dict[str, int], seed: int) -> DataFrame:
-    """units (doc_id, source, tokens, p) with p moved to 0 or 1. sizes: documents per source."""
-    kind = "doc_id long, source string, tokens long, p double"
-    decided, now, n = [], units, dict(sizes)
+def _cube(units: DataFrame, most: int, seed: int) -> DataFrame:
+    """units (doc_id, source, tokens, n, p) with p moved to 0 or 1. n: documents of the source at most; most: the greatest n."""
+    kind = "doc_id long, source string, tokens long, n long, p double"
+    decided, now = [], units
     level = 0
     while True:
-        n_buckets = {s: max(1, -(-k // BUCKET)) for s, k in n.items()}
-        last = all(k == 1 for k in n_buckets.values())
-
-        many = F.element_at(F.create_map(*[F.lit(x) for kv in n_buckets.items() for x in kv]), F.col("source"))
-        moved = now.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(seed + level)), many)).groupBy("source", "bucket").applyInPandas(_bucket_flight(last, level, seed), kind)
+        bucket = F.pmod(F.xxhash64("doc_id", F.lit(seed + level)), F.ceil(F.col("n") / BUCKET))
+        moved = now.withColumn("bucket", bucket).groupBy("source", "bucket").applyInPandas(_bucket_flight(level, seed, BUCKET), kind)
         moved = materialize(moved, "cube")
-        if last:
+        if most <= BUCKET:
             return union_all([*decided, moved])
         decided.append(moved.where("p = 0 OR p = 1"))
-        now = moved.where("p > 0 AND p < 1")
-        n = {s: 2 * k for s, k in n_buckets.items()}
+        # Every bucket leaves two documents at most.
+        now = moved.where("p > 0 AND p < 1").withColumn("n", 2 * F.ceil(F.col("n") / BUCKET))
+        most = 2 * -(-most // BUCKET)
         level += 1
 
 
@@ -154,50 +151,55 @@ def mixture(
 
     documents used: doc_id, source, tokens, copies (1..max_repeat), one row per
     document. report: source, target_share, max_repeat, available documents and
-    tokens, target_tokens, mixed_tokens, mixed_docs, actual_share and
-    shortfall_tokens, one row per row of targets. total_tokens is the size of
-    the mixture; by default the largest at which no source present in documents
-    falls short. Sources of targets without documents fall short by their whole
+    tokens, target_tokens, mixed_tokens, mixed_docs, actual_share,
+    shortfall_tokens and limits_total, one row per source of targets.
+    total_tokens is the size of the mixture; by default the largest at which no
+    source present in documents falls short, so that the scarcest one, marked by
+    limits_total, bounds it. Sources of targets without documents fall short by their whole
     target; documents of other or null sources, with null ids, or without
     tokens, are left out. Repeated doc_ids count once. Target rows with null
     source, share or repeat, or a share of 0 or less, count as none; equal
     labels are added up. Empty tables give an empty mixture. Other columns are
     ignored, whatever their names.
     """
-    spark = documents.sparkSession
     rows = targets.select(source_label("source").alias("source"), F.col("target_share").cast("double").alias("share"), F.col("max_repeat").cast("int").alias("most"))
-    rows = rows.where("source IS NOT NULL AND share > 0 AND most > 0").groupBy("source").agg(F.sum("share").alias("share"), F.max("most").alias("most")).limit(MOST_SOURCES + 1).collect()
-    if len(rows) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} target sources")
-    want = {r["source"]: (r["share"], r["most"]) for r in rows}
+    want = materialize(rows.where("source IS NOT NULL AND share > 0 AND most > 0").groupBy("source").agg(F.sum("share").alias("share"), F.max("most").alias("most")), "targets")
+
+    def small(df: DataFrame) -> DataFrame:
+        """A table of at most one row per target, for broadcast if they are few enough."""
+        return F.broadcast(df) if few else df
+
+    few = fits_broadcast(want)
     docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), source_label(source).alias("source"), F.col(text).alias("text"))
-    docs = docs.where(F.col("doc_id").isNotNull() & F.col("source").isin([*want] or [""]))
+    docs = docs.where("doc_id IS NOT NULL").join(small(want.select("source")), "source", "left_semi")
     counted = token_counts(docs, "text", ["doc_id", "source"], tokenizer)
     counted = materialize(counted.groupBy("doc_id").agg(F.max_by("source", F.struct("tokens", "source")).alias("source"), F.max("tokens").alias("tokens")).where("tokens > 0"), "tokens")
-    # One row per row of targets, which are bounded above.
-    have = {r["source"]: (r["n"], r["tokens"]) for r in counted.groupBy("source").agg(F.count("*").alias("n"), F.sum("tokens").alias("tokens")).collect()}
+    have = counted.groupBy("source").agg(F.count("*").alias("n"), F.sum("tokens").alias("available"))
+    supply = materialize(want.join(have, "source", "left").withColumn("bound", F.col("available") * F.col("most") / F.col("share")), "supply")
+    least = supply.agg(F.min("bound")).first()[0]
     if total_tokens is None:
-        total_tokens = math.floor(min((have[s][1] * most / share for s, (share, most) in want.items() if s in have), default=0))
-    rate = {s: min(float(most), share * total_tokens / have[s][1]) for s, (share, most) in want.items() if s in have}
+        total_tokens = math.floor(least or 0)
+    rate = F.least(F.col("most").cast("double"), F.col("share") * F.lit(float(total_tokens)) / F.col("available"))
     # Rates that rounding errors put next to a whole number are whole.
-    rate = {s: round(x) if abs(x - round(x)) < 1e-9 else x for s, x in rate.items()}
-    part = {s: x - math.floor(x) for s, x in rate.items()}
-    drawn = {s: have[s][0] for s, x in part.items() if x > 0}
-    base = F.element_at(F.create_map(*[F.lit(x) for s, x in rate.items() for x in (s, math.floor(x))]), F.col("source")) if rate else F.lit(0)
-    whole = counted.withColumn("copies", base)
-    if drawn:
-        prob = F.element_at(F.create_map(*[F.lit(x) for s in drawn for x in (s, float(part[s]))]), F.col("source"))
-        once = _cube(counted.where(F.col("source").isin([*drawn])).withColumn("p", prob), drawn, seed)
-        extra = once.where("p = 1").withColumn("copies", F.lit(1)).select("doc_id", "source", "tokens", "copies")
-        whole = whole.where("copies > 0").unionByName(extra).groupBy("doc_id", "source", "tokens").agg(F.sum("copies").alias("copies"))
-    used = whole.where("copies > 0").select("doc_id", "source", "tokens", F.col("copies").cast("int").alias("copies"))
-    plan = [(s, share, most, *map(int, have.get(s, (0, 0))), float(share * total_tokens)) for s, (share, most) in sorted(want.items())]
-    goal = spark.createDataFrame(plan, "source string, target_share double, max_repeat int, available_docs long, available_tokens long, target_tokens double")
+    rate = F.when(F.abs(rate - F.round(rate)) < 1e-9, F.round(rate)).otherwise(rate)
+    plan = supply.where("n > 0").select("source", "n", F.floor(rate).cast("int").alias("base"), (rate - F.floor(rate)).alias("p"))
+    planned = counted.join(small(plan), "source")
+    most = plan.where("p > 0").agg(F.max("n")).first()[0]
+    whole = planned.select("doc_id", "source", "tokens", F.col("base").alias("copies")).where("copies > 0")
+    if most:
+        once = _cube(planned.where("p > 0").select("doc_id", "source", "tokens", "n", "p"), most, seed)
+        extra = once.where("p = 1").select("doc_id", "source", "tokens", F.lit(1).alias("copies"))
+        whole = whole.unionByName(extra).groupBy("doc_id", "source", "tokens").agg(F.sum("copies").alias("copies"))
+    used = whole.select("doc_id", "source", "tokens", F.col("copies").cast("int").alias("copies"))
+    goal = supply.select(
+        "source", F.col("share").alias("target_share"), F.col("most").alias("max_repeat"), F.coalesce("n", F.lit(0)).alias("available_docs"), F.coalesce("available", F.lit(0)).alias("available_tokens"),
+        (F.col("share") * F.lit(float(total_tokens))).alias("target_tokens"), F.coalesce(F.col("bound") == F.lit(least), F.lit(False)).alias("limits_total"),
+    )
     got = used.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("mixed_tokens"), F.count("*").alias("mixed_docs"))
-    report = goal.join(F.broadcast(got), "source", "left").fillna(0, ["mixed_tokens", "mixed_docs"])  # got: at most a row per target
+    report = goal.join(small(got), "source", "left").fillna(0, ["mixed_tokens", "mixed_docs"])
     report = report.withColumn("all_tokens", F.sum("mixed_tokens").over(Window.partitionBy(F.lit(0))))  # as many rows as targets
     return used, report.select(
         "source", "target_share", "max_repeat", "available_docs", "available_tokens", "target_tokens", "mixed_tokens", "mixed_docs",
         F.when(F.col("all_tokens") > 0, F.col("mixed_tokens") / F.col("all_tokens")).otherwise(0.0).alias("actual_share"),
-        F.greatest(F.col("target_tokens") - F.col("mixed_tokens"), F.lit(0.0)).alias("shortfall_tokens"),
+        F.greatest(F.col("target_tokens") - F.col("mixed_tokens"), F.lit(0.0)).alias("shortfall_tokens"), "limits_total",
     )

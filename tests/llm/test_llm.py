@@ -371,6 +371,20 @@ def test_mixture_shares(spark, monkeypatch):
         assert used.count() == 0 and report.agg(F.sum("mixed_tokens")).first()[0] in (None, 0)
 
 
+def test_many_target_sources(spark, monkeypatch):
+    """As many targets as do not fit a broadcast, one of which bounds the total."""
+    from arenaflow.llm import mixing as module
+
+    monkeypatch.setattr(module, "fits_broadcast", lambda df: False)
+    d = spark.range(3000).selectExpr("id AS doc_id", "repeat('some words of a text ', int(1 + id % 5)) AS text", "concat('s', id % 300) AS source")
+    t = spark.range(310).selectExpr("concat('S', id) AS source", "1 / 310 AS target_share", "int(if(id = 0, 1, 3)) AS max_repeat")
+    used, report = mixing.mixture(d, t)
+    r = report.toPandas().set_index("source")
+    assert len(r) == 310 and (r.available_docs > 0).sum() == 300 and r.limits_total.sum() >= 1 and r.limits_total["s0"]
+    there = r[r.available_docs > 0]
+    assert (abs(there.mixed_tokens - there.target_tokens) <= 30).all() and used.where("copies > 3").count() == 0
+
+
 PROSE = ["The committee met in the old hall and nobody knew what the report would say about the bridge.", "When the music stopped, she asked whether the window was open and he said that it was not.", "After a while they went home, because there was nothing else to do on that day."]
 
 
