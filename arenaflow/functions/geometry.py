@@ -60,11 +60,11 @@ def zone_at(game: Game, x: Column, y: Column) -> Column:
 
 
 def in_bounds(game: Game, x: Column, y: Column, margin: float = 6.0) -> Column:
-    return x.between(-margin, game.field_size + margin) & y.between(-margin, game.field_size + margin)
+    return x.between(-margin, game.size + margin) & y.between(-margin, game.size + margin)
 
 
 def clamp(game: Game, c: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(F.lit(game.field_size), c))
+    return F.greatest(F.lit(0.0), F.least(F.lit(game.size), c))
 
 
 def mean_l1(a: Column, b: Column) -> Column:
@@ -81,7 +81,7 @@ def block_scale(h: Column, x: Column, y: Column, step: float = 4.0) -> Column:
 
 def robot_scale(game: Game, h: Column, inches: float = 18.0) -> Column:
     """Pixel length of a robot's width at the field's centre."""
-    back, mid = inverse(h), F.lit(game.field_size / 2)
+    back, mid = inverse(h), F.lit(game.size / 2)
     (x0, y0), (x1, y1) = project(back, mid, mid), project(back, mid + inches, mid)
     return F.hypot(x1 - x0, y1 - y0)
 
@@ -119,4 +119,4 @@ def quad_box(quad: Column) -> list[Column]:
 
 def canvas(game: Game, x: Column, y: Column, scale: float) -> tuple[Column, Column]:
     """Canvas pixels of a field point; y grows downwards there."""
-    return x * scale, (game.field_size - y) * scale
+    return x * scale, (game.size - y) * scale

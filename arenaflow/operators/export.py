@@ -20,7 +20,7 @@ def _series(df: DataFrame, name: str, cols: list[str], order: list[str], sub: st
 def game_struct(game: Game) -> Column:
     zones = [F.struct(F.lit(z.name).alias("name"), F.lit(z.kind).alias("kind"), F.array(*[F.array(F.lit(x), F.lit(y)) for x, y in z.polygon]).alias("polygon")) for z in game.zones]
     kind = "array<struct<name: string, kind: string, polygon: array<array<double>>>>"
-    return F.struct(F.lit(game.name).alias("name"), F.lit(game.field_size).alias("field_size"), F.lit(game.auton_seconds).alias("auton_seconds"), F.array(*zones).cast(kind).alias("zones"))
+    return F.struct(F.lit(game.name).alias("name"), F.lit(game.size).alias("field_size"), F.lit(game.seconds["auton"]).alias("auton_seconds"), F.array(*zones).cast(kind).alias("zones"))
 
 
 def match_documents(matches: DataFrame, videos: DataFrame, tracks: DataFrame, zones: DataFrame, scores: DataFrame, game: Game = PUSHBACK) -> DataFrame:

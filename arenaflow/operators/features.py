@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
-from ..game import PUSHBACK, Game
+from ..game import PUSHBACK, Game, zones_like
 
 
 def share(cond: Column) -> Column:
@@ -45,33 +45,37 @@ def robot_match_features(tracks: DataFrame, matches: DataFrame, game: Game = PUS
     group = Window.partitionBy(*keys)
     x, y, t = F.col("x_in"), F.col("y_in"), F.col("t")
     side = alliance(F.col("slot"))
-    half = game.field_size / 2
-    park = F.when(side == "red", geo.inside_any(game.own_parks("red"), x, y)).otherwise(geo.inside_any(game.own_parks("blue"), x, y))
+    half = game.size / 2
+    park = F.when(side == "red", geo.inside_any(zones_like(game, "park", "red"), x, y)).otherwise(geo.inside_any(zones_like(game, "park", "blue"), x, y))
     # The path's first step is dropped with the lag, so steps within t <= auton are those between readings of that time.
-    early = t <= game.auton_seconds
+    early = t <= game.seconds["auton"]
     m = m.withColumns({"late": t >= F.max("t").over(group) - 15, "park": park})
     first = F.struct("t", "row_id")
     per = m.groupBy(*keys).agg(
         F.min_by("team", first).alias("team"), F.coalesce(F.avg("speed"), F.lit(0.0)).alias("speed_mean"), F.coalesce(F.percentile("speed", 0.9), F.lit(0.0)).alias("speed_p90"),
         F.stddev_pop("x_in").alias("range_x"), F.stddev_pop("y_in").alias("range_y"),
         share(F.when(side == "red", x > half).otherwise(x < half)).alias("frac_offensive_half"),
-        share(geo.inside_any(game.of_kind("loader"), x, y)).alias("frac_near_loader"), share(geo.inside_any(game.of_kind("goal"), x, y)).alias("frac_near_goal"),
+        share(geo.inside_any(zones_like(game, "loader"), x, y)).alias("frac_near_loader"), share(geo.inside_any(zones_like(game, "goal"), x, y)).alias("frac_near_goal"),
         F.avg(F.when(F.col("late"), F.col("park").cast("double"))).alias("endgame_in_own_park"),
         F.coalesce(F.sum(F.when(early, F.col("dist"))), F.lit(0.0)).alias("auton_dist"), F.count("*").alias("n_samples"),
     )
     # Matches are a dimension of the tracks; the planner broadcasts them if they are small.
     return per.join(info, "match_id").select(
-        "match_id", "slot", side.alias("alliance"), "team", "event_id", outcome(F.col("red"), F.col("blue"), side).alias("won"), *per.columns[3:]
+        "match_id", "slot", side.alias("alliance"), "team", "event_id", outcome(F.col("red"), F.col("blue"), side).alias("won"), *BEHAVIOUR, "n_samples"
     )
 
 
+#: What robot_match_features says of a robot's behaviour.
+BEHAVIOUR = ["speed_mean", "speed_p90", "range_x", "range_y", "frac_offensive_half", "frac_near_loader", "frac_near_goal", "endgame_in_own_park", "auton_dist"]
+#: What match_features averages, and its count of parked robots.
+PARKED = "robots_parked_endgame"
 MEANS = ["speed_mean", "frac_offensive_half", "frac_near_loader", "frac_near_goal", "auton_dist"]
 
 
 def match_features(robots: DataFrame) -> DataFrame:
     """One row per match, alliance and event: means of the robots, robots parked at the end."""
     return robots.groupBy("match_id", "alliance", "event_id").agg(
-        F.any_value("won").alias("won"), *[F.avg(c).alias(c) for c in MEANS], F.sum("endgame_in_own_park").alias("robots_parked_endgame")
+        F.any_value("won").alias("won"), *[F.avg(c).alias(c) for c in MEANS], F.sum("endgame_in_own_park").alias(PARKED)
     )
 
 
@@ -83,11 +87,11 @@ def behavioral_features(tracks: DataFrame, matches: DataFrame, game: Game = PUSH
     x, y = F.col("x_in"), F.col("y_in")
 
     def kind(k: str) -> Column:
-        return sum((share(geo.inside(z, x, y)) for z in game.of_kind(k)), F.lit(0.0))
+        return sum((share(geo.inside(z, x, y)) for z in zones_like(game, k)), F.lit(0.0))
 
     return m.groupBy("event_id", "team").agg(
         F.coalesce(F.avg("speed"), F.lit(0.0)).alias("speed_mean"), F.coalesce(F.percentile("speed", 0.9), F.lit(0.0)).alias("speed_p90"), F.stddev_pop("x_in").alias("std_x"), F.stddev_pop("y_in").alias("std_y"),
-        share(x < game.field_size / 2).alias("on_red_side"), kind("loader").alias("loader"), kind("goal").alias("goal"), kind("park").alias("park"),
+        share(x < game.size / 2).alias("on_red_side"), kind("loader").alias("loader"), kind("goal").alias("goal"), kind("park").alias("park"),
     )
 
 
@@ -103,7 +107,7 @@ def team_tendencies(robots: DataFrame) -> DataFrame:
 
 def heatmap(tracks: DataFrame, keys: list[str], game: Game = PUSHBACK, bins: int = 36) -> DataFrame:
     """Cells of a bins x bins histogram of positions per key, with their share of the fullest cell; positions off the field are left out, the last edge is in."""
-    size = game.field_size
+    size = game.size
     on = F.col("x_in").between(0, size) & F.col("y_in").between(0, size)
 
     def cell(c: str) -> Column:

@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import materialize
+from . import features as features_
 
-WIN_FEATURES = ["speed_mean", "frac_offensive_half", "frac_near_loader", "frac_near_goal", "auton_dist", "robots_parked_endgame"]
-STYLE_FEATURES = ["speed_mean", "speed_p90", "range_x", "range_y", "frac_offensive_half", "frac_near_loader", "frac_near_goal", "endgame_in_own_park", "auton_dist"]
+#: The columns of match_features and of robot_match_features that are numbers about behaviour.
+WIN_FEATURES = [*features_.MEANS, features_.PARKED]
+STYLE_FEATURES = features_.BEHAVIOUR
 
 
 def standardized(df: DataFrame, features: list[str]) -> DataFrame:

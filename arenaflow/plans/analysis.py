@@ -139,7 +139,7 @@ _S1 = "s1 AS (SELECT match_id, slot, t, avg(x_in) AS x, avg(y_in) AS y, min(conf
 def resample(spark, d):
     s = tracks(spark, d).where("conf > 0").groupBy("match_id", "slot", "t").agg(F.avg("x_in").alias("x"), F.avg("y_in").alias("y"), F.min("conf").alias("conf"))
     # The small addend keeps decimal ties from being rounded apart by two engines.
-    r = tracking.resample(s, ["match_id", "slot"], PUSHBACK.match_seconds)
+    r = tracking.resample(s, ["match_id", "slot"], sum(PUSHBACK.seconds.values()))
     return rounded(r.withColumns({"x": F.col("x") + 1e-8, "y": F.col("y") + 1e-8}))
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import atexit
-import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -21,10 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where the session names none (tests), a temporary one."""
+    """The folder of spark.checkpoint.dir. Where the session names none, a temporary one if driver and executors are one process, as in tests; on a cluster that is an error, for its machines share no temporary folder."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     made = tempfile.mkdtemp(prefix="arenaflow-")
     atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", made)
@@ -35,19 +37,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as a parquet table in the shared folder and read it back.
 
     Cuts the lineage, survives lost executors and keeps recomputation from
-    seeing other range boundaries. An empty df gives an empty table.
+    seeing other range boundaries. An empty df gives an empty table. The table
+    is deleted when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/arenaflow-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_drop, path)
+    atexit.register(_drop, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _drop(path: str) -> None:
-    local = path.removeprefix("file://")
-    if os.path.isdir(local):
-        shutil.rmtree(local, ignore_errors=True)
+def _drop(jvm, conf, path: str) -> None:
+    """Deletes the folder in whatever file system holds it; at the driver's end the JVM may be gone already."""
+    try:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+    except Exception:  # noqa: BLE001
+        shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
 
 
 def fits_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> bool:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arenaflow.functions import geometry as geo
-from arenaflow.game import PUSHBACK, get_game
+from arenaflow.game import PUSHBACK, load
 from arenaflow.operators import calibration, clusters, features, insights, store, tracking
 
 
@@ -76,7 +76,7 @@ def test_points_in_zones(spark):
     got = df.select(geo.zone_at(PUSHBACK, F.col("x"), F.col("y"))).collect()
     want = [next((z.name for z in PUSHBACK.zones if crosses(list(z.polygon), x, y)), None) for x, y in pts]
     assert [r[0] for r in got] == want
-    assert df.select(geo.zone_at(get_game("override"), F.col("x"), F.col("y"))).distinct().collect()[0][0] is None
+    assert df.select(geo.zone_at(load("override"), F.col("x"), F.col("y"))).distinct().collect()[0][0] is None
 
 
 def test_homography_fit_and_inverse(spark):
