@@ -120,3 +120,44 @@ def quad_box(quad: Column) -> list[Column]:
 def canvas(game: Game, x: Column, y: Column, scale: float) -> tuple[Column, Column]:
     """Canvas pixels of a field point; y grows downwards there."""
     return x * scale, (game.size - y) * scale
+
+
+def homography_text(h: Column) -> Column:
+    """The nine values as a JSON list."""
+    return F.to_json(h)
+
+
+def homography_of(text: Column) -> Column:
+    """The homography of a JSON list; null unless it holds nine numbers."""
+    h = F.from_json(text, "array<double>")
+    return F.when((F.size(h) == 9) & ~F.exists(h, lambda v: v.isNull()), h)
+
+
+def shifted_box(x0: Column, y0: Column, x1: Column, y1: Column, left: Column, top: Column) -> list[Column]:
+    """A box found in a crop, in the frame's pixels: the crop's corner added."""
+    return [x0 + left, y0 + top, x1 + left, y1 + top]
+
+
+def block_sized(w: Column, h: Column, area: Column, scale: Column) -> Column:
+    """Whether a blob may be one block of `scale` pixels: 0.4 to 2.5 of it long, at least 0.15 of its square, at most 2.5 times as long as wide."""
+    long, short = F.greatest(w, h), F.least(w, h)
+    return long.between(0.4 * scale, 2.5 * scale) & (area >= 0.15 * scale * scale) & (long / F.greatest(short, F.lit(1)) <= 2.5)
+
+
+def robot_sized(w: Column, h: Column, area: Column, scale: Column) -> Column:
+    """Whether a blob may be a robot of `scale` pixels: 0.35 to 1.8 of it long, at least 0.15 of its square."""
+    return F.greatest(w, h).between(0.35 * scale, 1.8 * scale) & (area >= 0.15 * scale * scale)
+
+
+def ordered_corners(quad: Column, red_left: Column) -> Column:
+    """An array of four {x, y} as near and far corners: the two lower in the frame are near; from the red side's near one around. Equal heights keep their order."""
+    placed = F.transform(quad, lambda p, i: F.struct(p["y"].alias("y"), i.alias("i"), p["x"].alias("x")))
+    by_y = F.array_sort(placed)
+
+    def pair(from_: int) -> tuple[Column, Column]:
+        two = F.array_sort(F.transform(F.slice(by_y, from_, 2), lambda p: F.struct(p["x"].alias("x"), p["i"].alias("i"), p["y"].alias("y"))))
+        return two[0], two[1]
+
+    (far_l, far_r), (near_l, near_r) = pair(1), pair(3)
+    corners = F.when(red_left, F.array(near_l, near_r, far_r, far_l)).otherwise(F.array(near_r, near_l, far_l, far_r))
+    return F.transform(corners, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))

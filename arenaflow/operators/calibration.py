@@ -11,21 +11,22 @@ def calibration_asof(requests: DataFrame, calibrations: DataFrame, videos: DataF
 
     origin own: the video's latest with from_ts <= ts; else origin source: the
     earliest of the clip's source or of any clip of that source, ties by
-    video_id; else nulls. The choice between two videos is two equi-joins and a
-    union, never a join on either condition.
+    video_id; else nulls. A video's few calibrations go to its requests as one
+    array, so that no request is multiplied or needs a key, and the two lookups
+    are equi-joins with one row per video. Null from_ts hold at no time.
     """
-    keyed = requests.withColumn("rid", F.monotonically_increasing_id())
-    cal = calibrations.select("video_id", "from_ts", "homography")
-    own = keyed.join(cal, "video_id").where(F.col("from_ts") <= F.col("ts")).groupBy("rid").agg(F.max_by(F.struct("from_ts", "homography"), "from_ts").alias("own"))
+    cal = calibrations.select("video_id", "from_ts", "homography").where("from_ts IS NOT NULL")
+    own = cal.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("from_ts", "homography"))).alias("own"))
     source = videos.select(F.col("id").alias("video_id"), "source_id").where("source_id IS NOT NULL AND source_id <> ''")
     of_source = cal.select(F.col("video_id").alias("source_id"), "from_ts", "homography", F.col("video_id").alias("via"))
     of_clips = cal.join(source, "video_id").select("source_id", "from_ts", "homography", F.col("video_id").alias("via"))
     best = of_source.unionByName(of_clips).groupBy("source_id").agg(F.min(F.struct("from_ts", "via", "homography")).alias("alt"))
     alt = source.join(best, "source_id").groupBy("video_id").agg(F.min("alt").alias("alt"))
-    both = keyed.join(own, "rid", "left").join(alt, "video_id", "left")
+    both = requests.join(own, "video_id", "left").join(alt, "video_id", "left")
+    both = both.withColumn("mine", F.try_element_at(F.filter("own", lambda c: c["from_ts"] <= F.col("ts")), F.lit(-1)))
     return both.select(
-        *requests.columns, F.coalesce("own.homography", "alt.homography").alias("homography"), F.coalesce("own.from_ts", "alt.from_ts").alias("from_ts"),
-        F.when(F.col("own").isNotNull(), "own").when(F.col("alt").isNotNull(), "source").alias("origin"),
+        *requests.columns, F.coalesce("mine.homography", "alt.homography").alias("homography"), F.coalesce("mine.from_ts", "alt.from_ts").alias("from_ts"),
+        F.when(F.col("mine").isNotNull(), "own").when(F.col("alt").isNotNull(), "source").alias("origin"),
     )
 
 

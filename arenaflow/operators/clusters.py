@@ -59,6 +59,23 @@ def nearest_centre(points: DataFrame, centres: DataFrame, keys: list[str], withi
     return d.where(F.col("distance") < within).groupBy(*keys, "clip_id").agg(best).select(*keys, "clip_id", "b.centre_id", "b.distance")
 
 
-def calibrate_clusters(clusters: DataFrame, least: int = 3) -> DataFrame:
-    """Which clusters are calibrated on their own: those of at least `least` clips."""
-    return clusters.groupBy("source_id", "cluster").agg(F.count("*").alias("n")).withColumn("calibrated", F.col("n") >= least)
+def calibration_plan(clips: DataFrame, fitted: DataFrame | None = None, least: int = 3, within: float = 32.0) -> DataFrame:
+    """(source_id, clip_id, cluster, calibrated_as): which cluster's calibration each clip takes.
+
+    clips: source_id, clip_id, cluster, fp. Clusters of at least `least` clips are
+    calibrated on their own, if `fitted` (source_id, cluster) is given only those
+    in it. A clip of a smaller one takes that of the nearest centre of its source
+    closer than `within`; a centre is the mean of the cluster's first three
+    fingerprints by clip_id. calibrated_as is null where there is none.
+    """
+    cluster = Window.partitionBy("source_id", "cluster")
+    sized = clips.withColumns({"n": F.count("*").over(cluster), "rn": F.row_number().over(cluster.orderBy("clip_id"))})
+    major = sized.where(F.col("n") >= least)
+    if fitted is not None:
+        major = major.join(fitted.select("source_id", "cluster").distinct(), ["source_id", "cluster"], "left_semi")
+    centres = by_element(major.where("rn <= 3 AND fp IS NOT NULL"), ["source_id", "cluster"], "fp", F.avg).withColumnRenamed("cluster", "centre_id")
+    minor = sized.where((F.col("n") < least) & F.col("fp").isNotNull())
+    taken = nearest_centre(minor, centres, ["source_id"], within).select("source_id", "clip_id", F.col("centre_id").alias("taken"))
+    own = major.select("source_id", "clip_id", F.col("cluster").alias("own"))
+    out = clips.select("source_id", "clip_id", "cluster").join(own, ["source_id", "clip_id"], "left").join(taken, ["source_id", "clip_id"], "left")
+    return out.select("source_id", "clip_id", "cluster", F.coalesce("own", "taken").alias("calibrated_as"))

@@ -53,3 +53,20 @@ def team_reports(tendencies: DataFrame) -> DataFrame:
     ]
     rows = F.concat(*[x for name, v in cells for x in (F.lit(f"<tr><th>{name}</th><td>"), v, F.lit("</td></tr>"))])
     return tendencies.select("team", F.concat(ps.file_slug(F.col("team")), F.lit(".html")).alias("file"), F.concat(F.lit("<!doctype html><meta charset='utf-8'><h1>"), "team", F.lit("</h1><table>"), rows, F.lit("</table>")).alias("html"))
+
+
+def team_pages(tendencies: DataFrame, heat: DataFrame, routes: DataFrame, size: float = PUSHBACK.size, bins: int = 36, scale: float = 3.0) -> DataFrame:
+    """team_reports with two drawings: the cells of the team's heat map (team, bin_x, bin_y, density) and its routes (team, match_id, route), y upwards. A heat map has at most bins squared cells; a team has a route per match."""
+    side = size * scale
+    cell = side / bins
+    number = lambda c: F.format_string("%.1f", c.cast("double"))
+    rect = F.concat(
+        F.lit("<rect x='"), number(F.col("bin_x") * cell), F.lit("' y='"), number(side - (F.col("bin_y") + 1) * cell), F.lit(f"' width='{cell:.1f}' height='{cell:.1f}' fill-opacity='"), F.format_string("%.2f", "density"), F.lit("'/>")
+    )
+    cells = heat.groupBy("team").agg(F.array_join(F.array_sort(F.collect_list(rect)), "").alias("cells"))
+    points = F.array_join(F.transform("route", lambda p: F.concat(number(p["x"] * scale), F.lit(","), number(side - p["y"] * scale))), " ")
+    line = F.concat(F.lit("<polyline fill='none' stroke='black' points='"), points, F.lit("'/>"))
+    lines = routes.groupBy("team").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("match_id", line.alias("l")))), lambda x: x["l"]), "").alias("lines"))
+    both = team_reports(tendencies).join(cells, "team", "left").join(lines, "team", "left")
+    drawing = lambda c: F.concat(F.lit(f"<svg width='{side:.0f}' height='{side:.0f}'>"), F.coalesce(c, F.lit("")), F.lit("</svg>"))
+    return both.select("team", "file", F.concat("html", drawing(F.col("cells")), drawing(F.col("lines"))).alias("html"))

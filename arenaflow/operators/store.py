@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import materialize
+
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], seq: Column) -> DataFrame:
     """old with the rows of new in place of those with the same keys; of new rows with the same keys the one with the greatest seq counts. Columns that new lacks become null."""
@@ -28,5 +30,22 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def append(df: DataFrame, path: str, by: list[str] | None = None) -> None:
+    """Adds the rows to the table at path, partitioned by the columns where they are given."""
+    writer = df.write.mode("append")
+    (writer.partitionBy(*by) if by else writer).parquet(path)
+
+
+def numbered(df: DataFrame, order: list[Column]) -> DataFrame:
+    """df with place, 1, 2, ... in the order of all rows, which must be a total one.
+
+    Rows are sorted by range into partitions that are written once, so that their
+    borders stay; each partition counts its own rows, and the counts before it
+    are its offset. No task holds more than a partition.
+    """
+    ranged = df.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    ranged = materialize(ranged, "numbered")
+    # One row per partition.
+    before = ranged.groupBy("part").count().withColumn("before", F.sum("count").over(Window.orderBy("part")) - F.col("count")).select("part", "before")
+    own = ranged.withColumn("place", F.row_number().over(Window.partitionBy("part").orderBy(*order)))
+    return own.join(before, "part").withColumn("place", F.col("place") + F.col("before")).drop("part", "before")

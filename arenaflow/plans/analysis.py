@@ -248,6 +248,7 @@ def clock(spark, d):
 def _ocr(spark, d):
     """Overlay boxes of one frame per score reading: headers, two teams and a score a side, a timer and a label."""
     s = scores(spark, d).where("match_id IS NOT NULL AND red_score BETWEEN 0 AND 400 AND blue_score BETWEEN 0 AND 400 AND t BETWEEN 0 AND 120")
+    s = s.groupBy("match_id", "t").agg(F.max("red_score").alias("red_score"), F.max("blue_score").alias("blue_score"))
     left = (F.lit(120) - F.floor("t")).cast("int")
     secs = F.when(F.col("t") <= 15, F.lit(15) - F.floor("t").cast("int")).otherwise(F.least(left, F.lit(105)))
     text = F.concat(F.floor(secs / 60).cast("string"), F.lit(":"), F.lpad((secs % 60).cast("string"), 2, "0"))
@@ -264,13 +265,12 @@ def _ocr(spark, d):
 
 @query(
     f"""WITH {SC}, s AS (SELECT * FROM sc WHERE match_id IS NOT NULL AND red_score BETWEEN 0 AND 400 AND blue_score BETWEEN 0 AND 400 AND t BETWEEN 0 AND 120),
-    one AS (SELECT DISTINCT match_id, t, red_score, blue_score FROM s QUALIFY count(*) OVER (PARTITION BY match_id, t) = 1)
+    one AS (SELECT match_id, t, max(red_score) AS red_score, max(blue_score) AS blue_score FROM s GROUP BY match_id, t)
     SELECT 'v' || match_id AS video_id, t AS video_ts, CASE WHEN t <= 15 THEN 15 - CAST(floor(t) AS INTEGER) ELSE least(120 - CAST(floor(t) AS INTEGER), 105) END AS timer, 'Q' || match_id AS match_name, match_id || 'A' AS red_team, match_id || 'B' AS blue_team, red_score, blue_score FROM one"""
 )
 def parse_samples(spark, d):
-    boxes = _ocr(spark, d)
-    once = boxes.groupBy("video_id", "video_ts").agg(F.count("*").alias("n")).where("n = 9").drop("n")
-    s = overlay.samples(boxes.join(once, ["video_id", "video_ts"]))
+    """Every frame; of readings at one time the greater scores show."""
+    s = overlay.samples(_ocr(spark, d))
     return s.select("video_id", "video_ts", "timer", "match_name", F.try_element_at("red_teams", F.lit(1)).alias("red_team"), F.try_element_at("blue_teams", F.lit(1)).alias("blue_team"), "red_score", "blue_score")
 
 
@@ -286,6 +286,65 @@ def segment_matches(spark, d):
     return s.select("video_id", "name", "start_ts", "auton_end_ts", "end_ts", F.size("scores").alias("n_scores"), segment.tail_median(F.transform("scores", lambda x: x["red"])).alias("final_red"), "notes")
 
 
+# Streams of several matches, 200 s apart; the timer is lost in every fifth stretch of seven seconds, the name shows twice in three.
+_STREAM = """sm AS (
+  SELECT match_id % 20 AS video, match_id // 20 * 200 + t AS ts, CASE WHEN t <= 120 AND CAST(floor(t / 7) AS BIGINT) % 5 <> 3 THEN CASE WHEN t <= 15 THEN 15 - CAST(floor(t) AS INTEGER) ELSE least(120 - CAST(floor(t) AS INTEGER), 105) END END AS timer,
+    CASE WHEN CAST(floor(t) AS BIGINT) % 3 <> 0 THEN 'Q' || match_id END AS name, max(red_score) AS red
+  FROM sc WHERE match_id IS NOT NULL AND t BETWEEN 0 AND 140 GROUP BY match_id, t
+), o AS (SELECT *, row_number() OVER (PARTITION BY video ORDER BY ts, timer) AS i FROM sm)"""
+
+# One step per sample of each stream. wait: no match is open; auto, drive: its period. open_i: the sample that opened it.
+_STEPS = """w AS (
+  SELECT video, 1::BIGINT AS i, 'wait' AS phase, NULL::BIGINT AS open_i, NULL::VARCHAR AS name, NULL::DOUBLE AS start, NULL::DOUBLE AS auton, FALSE AS missed, ts AS b_ts, timer AS b_timer,
+    NULL::BIGINT AS into_i, NULL::BIGINT AS done_i, NULL::VARCHAR AS done_name, NULL::DOUBLE AS done_start, NULL::DOUBLE AS done_auton, NULL::DOUBLE AS done_end, FALSE AS done_missed FROM o WHERE i = 1
+  UNION ALL
+  SELECT video, i, phase2, open2, CASE WHEN open2 IS NULL THEN NULL WHEN open2 = i THEN now_name WHEN into2 IS NOT NULL THEN coalesce(name, now_name) ELSE name END, start2, auton2, missed2, ts, timer,
+    into2, CASE WHEN renamed OR lost_end OR jumped OR zero THEN open_i END, CASE WHEN zero THEN coalesce(name, now_name) ELSE name END, start, auton,
+    CASE WHEN renamed THEN least(coalesce(zero_at, ts), ts) WHEN zero THEN ts ELSE zero_at END, missed
+  FROM (
+    SELECT *, CASE WHEN begins THEN CASE WHEN timer > 15 THEN 'drive' ELSE 'auto' END WHEN ended OR dropped THEN 'wait' WHEN turns THEN 'drive' ELSE ph END AS phase2,
+      CASE WHEN begins THEN i WHEN ended OR dropped THEN NULL ELSE op END AS open2,
+      CASE WHEN begins THEN CASE WHEN timer > 15 THEN ts - (105 - timer) - 15 ELSE ts - (15 - timer) END WHEN ended OR dropped THEN NULL WHEN turns AND abs(ts - (105 - timer) - 15 - start) > 3 THEN ts - (105 - timer) - 15 ELSE start END AS start2,
+      CASE WHEN begins AND timer > 15 THEN ts - (105 - timer) WHEN begins OR ended OR dropped THEN NULL WHEN turns THEN ts - (105 - timer) ELSE auton END AS auton2,
+      CASE WHEN begins THEN timer > 15 WHEN ended OR dropped THEN FALSE ELSE missed END AS missed2,
+      CASE WHEN begins THEN i WHEN timer IS NOT NULL AND ph <> 'wait' AND NOT dropped AND NOT jumped THEN op END AS into2
+    FROM (
+      SELECT *, (ph = 'wait' AND timer IS NOT NULL AND b_timer IS NOT NULL AND timer < b_timer AND timer >= 5) AS begins, ph = 'auto' AND timer IS NOT NULL AND timer > 15 AS turns,
+        ph = 'auto' AND ((timer IS NULL AND ts - start > 30) OR (timer IS NOT NULL AND timer <= 15 AND (ts - start > 30 OR coalesce(timer > b_timer, FALSE)))) AS dropped,
+        lost_end OR jumped OR zero AS ended
+      FROM (
+        SELECT *, ph = 'drive' AND timer IS NULL AND coalesce(ts > zero_at + 10, FALSE) AS lost_end, ph = 'drive' AND coalesce(timer > 0 AND timer > b_timer + 2, FALSE) AS jumped, ph = 'drive' AND coalesce(timer = 0, FALSE) AS zero
+        FROM (
+          SELECT *, CASE WHEN renamed THEN 'wait' ELSE phase END AS ph, CASE WHEN renamed THEN NULL ELSE open_i END AS op
+          FROM (
+            SELECT w.video, w.phase, w.open_i, w.name, w.start, w.auton, w.missed, w.b_ts, w.b_timer, o.i, o.ts, o.timer, o.name AS now_name, w.b_ts + w.b_timer AS zero_at,
+              o.timer IS NOT NULL AND w.open_i IS NOT NULL AND coalesce(o.name <> w.name, FALSE) AS renamed
+            FROM w JOIN o ON o.video = w.video AND o.i = w.i + 1))))))"""
+
+
+@query(
+    f"""WITH RECURSIVE {SC}, {_STREAM}, {_STEPS}, lasts AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY video ORDER BY i DESC) = 1),
+    spans AS (
+      SELECT video, done_i AS open_i, done_name AS name, done_start AS start, done_auton AS auton, done_end AS fin, done_missed AS missed FROM w WHERE done_i IS NOT NULL
+      UNION ALL SELECT video, open_i, name, start, auton, NULL, missed FROM lasts WHERE phase = 'drive'),
+    tail AS (SELECT s.video, s.open_i, count(*) AS n_scores, list_sort((list(o.red ORDER BY o.i DESC))[1:5]) AS r FROM spans s JOIN w ON w.video = s.video AND w.into_i = s.open_i JOIN o ON o.video = w.video AND o.i = w.i WHERE o.red IS NOT NULL AND o.ts >= s.start GROUP BY s.video, s.open_i)
+    SELECT 'v' || s.video AS video_id, s.name, round(start, 6) AS start_ts, round(auton, 6) AS auton_end_ts, round(fin, 6) AS end_ts, CASE WHEN missed THEN 'auton-missed' END AS notes, coalesce(n_scores, 0) AS n_scores, r[len(r) // 2 + 1] AS final_red
+    FROM spans s LEFT JOIN tail ON tail.video = s.video AND tail.open_i = s.open_i"""
+)
+def segment_streams(spark, d):
+    """The state machine over streams of several matches with lost timers and partial names."""
+    f = F.floor("t")
+    timer = F.when((F.col("t") <= 120) & (F.floor(F.col("t") / 7) % 5 != 3), F.when(F.col("t") <= 15, 15 - f).otherwise(F.least(120 - f, F.lit(105)))).cast("int")
+    s = scores(spark, d).where("match_id IS NOT NULL AND t BETWEEN 0 AND 140").groupBy("match_id", "t").agg(F.max("red_score").alias("red_score"))
+    none = F.array().cast("array<string>")
+    s = s.select(
+        F.concat(F.lit("v"), (F.col("match_id") % 20).cast("string")).alias("video_id"), (F.floor(F.col("match_id") / 20) * 200 + F.col("t")).alias("video_ts"), timer.alias("timer"), F.lit(None).cast("string").alias("phase_text"),
+        F.when(f % 3 != 0, F.concat(F.lit("Q"), F.col("match_id").cast("string"))).alias("match_name"), none.alias("red_teams"), none.alias("blue_teams"), "red_score", F.lit(None).cast("int").alias("blue_score"),
+    )
+    r = segment.segment(s)
+    return rounded(r.select("video_id", "name", "start_ts", "auton_end_ts", "end_ts", "notes", F.size("scores").cast("long").alias("n_scores"), segment.tail_median(F.transform("scores", lambda x: x["red"])).alias("final_red")))
+
+
 def _detections(spark, d):
     """Tracks as detections whose ids change every 20 seconds."""
     t = tracks(spark, d).where("conf > 0")
@@ -301,6 +360,36 @@ def slot_tracks(spark, d):
     return tracking.slot_tracks(_detections(spark, d))
 
 
+@query(
+    f"""WITH {TR}, k AS (SELECT DISTINCT match_id, t, slot FROM tr WHERE conf > 0)
+    SELECT match_id, TRUE AS one_a_frame, TRUE AS of_detections, TRUE AS own_colour FROM k GROUP BY match_id"""
+)
+def slot_tracks_check(spark, d):
+    """What must hold of slot tracks: a slot has one reading a frame, each a detection of its colour; every match with detections has some."""
+    dets = _detections(spark, d)
+    s = tracking.slot_tracks(dets)
+    real = dets.select("match_id", "t", "x", "y", F.substring("cls", 7, 9).alias("colour")).distinct().withColumn("there", F.lit(True))
+    j = s.join(real.where("colour IS NOT NULL"), ["match_id", "t", "x", "y"], "left")
+    order = Window.partitionBy("match_id", "slot", "t")
+    j = j.withColumn("copies", F.count("*").over(order))
+    per = j.groupBy("match_id").agg(
+        F.max("copies").alias("copies"), F.every(F.coalesce("there", F.lit(False))).alias("of_detections"), F.every(F.coalesce(F.col("slot").startswith(F.col("colour")), F.lit(False))).alias("own_colour")
+    )
+    return dets.select("match_id").distinct().join(per, "match_id", "left").select("match_id", (F.col("copies") == 1).alias("one_a_frame"), "of_detections", "own_colour")
+
+
+@query(f"WITH {TR} SELECT match_id, count(*) AS n_boxes, TRUE AS once_a_frame, TRUE AS within_reach FROM tr WHERE conf > 0 GROUP BY match_id")
+def associate_check(spark, d):
+    """What must hold of associated boxes: every box has an id, an id is in a frame once, and from one frame to the next moves no further than the reach."""
+    f = _detections(spark, d).withColumn("frame", F.floor(F.col("t") * 5).cast("int")).select("match_id", "frame", "pos", "x", "y")
+    ids = tracking.associate(f, 18.0).join(f, ["match_id", "frame", "pos"])
+    # A frame's predecessor is the last one that holds boxes.
+    frames = f.select("match_id", "frame").distinct().withColumn("before", F.lag("frame").over(Window.partitionBy("match_id").orderBy("frame")))
+    w = Window.partitionBy("match_id", "track_id").orderBy("frame", "pos")
+    m = ids.join(frames, ["match_id", "frame"]).withColumns({"from": F.lag("frame").over(w), "step": F.hypot(F.col("x") - F.lag("x").over(w), F.col("y") - F.lag("y").over(w))})
+    return m.groupBy("match_id").agg(F.count("*").alias("n_boxes"), F.every(F.coalesce(F.col("from") != F.col("frame"), F.lit(True))).alias("once_a_frame"), F.every(F.coalesce((F.col("from") == F.col("before")) & (F.col("step") <= 27), F.lit(True))).alias("within_reach"))
+
+
 @query(None)
 def associate_boxes(spark, d):
     f = _detections(spark, d).withColumn("frame", F.floor(F.col("t") * 5).cast("int"))
@@ -313,10 +402,22 @@ def track_quality(spark, d):
     return g.select("match_id", "slot", tracking.quality(F.col("c"), F.col("k")).alias("quality"))
 
 
-@query(None)
+@query(
+    """WITH RECURSIVE e AS (SELECT vec_id // 25 AS source_id, vec_id AS clip_id, list_transform(embedding, lambda x: x::DOUBLE) AS fp, row_number() OVER (PARTITION BY vec_id // 25 ORDER BY vec_id) AS i FROM embeddings), w AS (
+      SELECT source_id, i, clip_id, [fp] AS centres, [1::BIGINT] AS sizes, 0::BIGINT AS cluster FROM e WHERE i = 1
+      UNION ALL
+      SELECT source_id, i, clip_id,
+        CASE WHEN hit THEN list_transform(range(1, len(centres) + 1), lambda k: CASE WHEN k = best THEN list_transform(range(1, 65), lambda j: centres[k][j] + (fp[j] - centres[k][j]) / (sizes[k] + 1)) ELSE centres[k] END) ELSE list_append(centres, fp) END,
+        CASE WHEN hit THEN list_transform(range(1, len(sizes) + 1), lambda k: sizes[k] + CASE WHEN k = best THEN 1 ELSE 0 END) ELSE list_append(sizes, 1) END,
+        CASE WHEN hit THEN best - 1 ELSE len(sizes) END
+      FROM (SELECT *, list_position(off, list_min(off)) AS best, list_min(off) < 0.11::DOUBLE AS hit FROM (
+        SELECT e.source_id, e.i, e.clip_id, e.fp, w.centres, w.sizes, list_transform(w.centres, lambda c: list_sum(list_transform(range(1, 65), lambda j: abs(c[j] - e.fp[j]))) / 64) AS off FROM w JOIN e ON e.source_id = w.source_id AND e.i = w.i + 1)))
+    SELECT source_id, clip_id, CAST(cluster AS INTEGER) AS cluster FROM w"""
+)
 def leader_clusters(spark, d):
-    e = table(spark, d, "embeddings").select((F.col("label") % 4).alias("source_id"), F.col("vec_id").alias("clip_id"), F.col("embedding").alias("fp"))
-    return clusters.leader_clusters(e, 0.12)
+    """25 vectors stand for the clips of one stream."""
+    e = table(spark, d, "embeddings").select(F.floor(F.col("vec_id") / 25).alias("source_id"), F.col("vec_id").alias("clip_id"), F.col("embedding").alias("fp"))
+    return clusters.leader_clusters(e, 0.11)
 
 
 @query("""WITH c AS (SELECT label % 4 AS source_id, label AS cluster, vec_id, count(*) OVER (PARTITION BY label % 4, label) AS n, row_number() OVER (PARTITION BY label % 4, label ORDER BY vec_id) AS rn FROM embeddings)
@@ -346,22 +447,12 @@ def team_reports(spark, d):
     return export.team_reports(features.team_tendencies(_robots(spark, d)))
 
 
-def _round_trip(t):
-    b = t.select(F.col("match_id").cast("string").alias("image"), F.col("row_id").alias("pos"), F.lit(1).alias("cls"), (F.floor("x_in") / 200).alias("cx"), (F.floor("y_in") / 200).alias("cy"), F.lit(0.1).alias("bw"), F.lit(0.1).alias("bh"))
-    p = tables.parse_labels(tables.label_lines(b))
-    return p.groupBy(F.col("image").cast("long").alias("image_id")).agg(F.count("*").alias("n_boxes"), F.round(F.sum("cx"), 4).alias("cx_sum"))
-
-
-@query(f"WITH {TR} SELECT match_id AS image_id, count(*) AS n_boxes, round(sum(floor(x_in) / 200), 4) AS cx_sum FROM tr WHERE t < 20 GROUP BY match_id")
-def label_round_trip(spark, d):
-    """Boxes of the first 20 seconds to label text and back, as its SQL has it; `label_round_trip_whole` has whole matches."""
-    return _round_trip(tracks(spark, d).where("t < 20"))
-
-
 @query(f"WITH {TR} SELECT match_id AS image_id, count(*) AS n_boxes, round(sum(floor(x_in) / 200), 4) AS cx_sum FROM tr GROUP BY match_id")
 def label_round_trip_whole(spark, d):
     """Boxes to label text and back."""
-    return _round_trip(tracks(spark, d))
+    b = tracks(spark, d).select(F.col("match_id").cast("string").alias("image"), F.col("row_id").alias("pos"), F.lit(1).alias("cls"), (F.floor("x_in") / 200).alias("cx"), (F.floor("y_in") / 200).alias("cy"), F.lit(0.1).alias("bw"), F.lit(0.1).alias("bh"))
+    p = tables.parse_labels(tables.label_lines(b))
+    return p.groupBy(F.col("image").cast("long").alias("image_id")).agg(F.count("*").alias("n_boxes"), F.round(F.sum("cx"), 4).alias("cx_sum"))
 
 
 @query(None)
@@ -376,9 +467,8 @@ def search_events(spark, d):
 
 @query(None)
 def win_conditions(spark, d):
-    """Over all decided alliances; below 30 of them (the smallest test data) with the bound lowered to what there is."""
-    a = features.match_features(_robots(spark, d))
-    return insights.win_conditions(a, least=2)
+    """Over all decided alliances; raises where there are fewer than 30, as in the smallest test data."""
+    return insights.win_conditions(features.match_features(_robots(spark, d)))
 
 
 @query(None)

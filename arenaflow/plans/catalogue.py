@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import analysis, league, training
+from . import analysis, league, media, training
 from .base import QUERIES as _QUERIES
 from .base import SQL as _SQL
 
@@ -10,4 +10,4 @@ FLAGSHIP = "match_features"
 QUERIES = {**training.QUERIES, **_QUERIES}
 SQL = {**training.SQL, **_SQL}
 
-__all__ = ["FLAGSHIP", "QUERIES", "SQL", "analysis", "league"]
+__all__ = ["FLAGSHIP", "QUERIES", "SQL", "analysis", "league", "media"]

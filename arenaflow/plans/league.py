@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as geo
 from ..functions import parsing as ps
 from ..game import PUSHBACK
-from ..operators import calibration, clusters, features, segment, store, tracking
+from ..operators import calibration, clusters, features, quantiles, segment, store, tracking
 from ..runtime import table
 from .base import MA, SC, TR, VI, ZO, matches, query, rounded, scores, tracks, videos, zone_case, zones
 
@@ -280,18 +280,18 @@ def top2_votes(spark, d):
 
 @query(
     f"""WITH {SC}, l AS (SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY t DESC, row_id DESC) AS rn FROM sc),
-    v AS (SELECT match_id, list_sort(list(red_score) FILTER (WHERE red_score IS NOT NULL)) AS a FROM l WHERE rn <= 5 GROUP BY match_id)
-    SELECT match_id, a[len(a) // 2 + 1] AS final_red FROM v"""
+    v AS (SELECT match_id, list_sort(list(red_score) FILTER (WHERE red_score IS NOT NULL)) AS a, list_sort(list(blue_score) FILTER (WHERE blue_score IS NOT NULL)) AS b FROM l WHERE rn <= 5 GROUP BY match_id)
+    SELECT match_id, a[len(a) // 2 + 1] AS final_red, b[len(b) // 2 + 1] AS final_blue FROM v"""
 )
 def tail_median(spark, d):
-    g = scores(spark, d).groupBy("match_id").agg(F.array_sort(F.collect_list(F.struct("t", "row_id", "red_score"))).alias("a"))
-    return g.select("match_id", segment.tail_median(F.transform("a", lambda x: x["red_score"])).alias("final_red"))
+    g = scores(spark, d).groupBy("match_id").agg(F.array_sort(F.collect_list(F.struct("t", "row_id", "red_score", "blue_score"))).alias("a"))
+    return g.select("match_id", *[segment.tail_median(F.transform("a", lambda x: x[f"{side}_score"])).alias(f"final_{side}") for side in ("red", "blue")])
 
 
 @query("SELECT label, CAST(i - 1 AS INTEGER) AS i, round(median(embedding[i]::DOUBLE), 6) AS med, round(avg(embedding[i]::DOUBLE), 6) AS mean FROM embeddings, range(1, 65) AS r(i) GROUP BY label, i")
 def vector_median(spark, d):
     e = table(spark, d, "embeddings")
-    a = clusters.by_element(e, ["label"], "embedding", F.median).select("label", F.posexplode("embedding").alias("i", "med"))
+    a = quantiles.exact_percentile(e.select("label", F.posexplode("embedding").alias("i", "v")), ["label", "i"], "v", 0.5, "med")
     b = clusters.by_element(e, ["label"], "embedding", F.avg).select("label", F.posexplode("embedding").alias("i", "mean"))
     return rounded(a.join(b, ["label", "i"]))
 
@@ -314,16 +314,6 @@ def fullest_zone(spark, d):
     return z.groupBy("match_id", "t").agg(best).select("match_id", "t", "b.zone")
 
 
-@query("""WITH g AS (SELECT DISTINCT match_id, t FROM robot_tracks WHERE match_id IS NOT NULL AND t IS NOT NULL AND slot = 'red1'),
-    o AS (SELECT match_id, t, row_number() OVER (PARTITION BY match_id ORDER BY t) AS i FROM g)
-    SELECT match_id, t FROM (WITH RECURSIVE w AS (
-      SELECT match_id, i, t, t AS kept, TRUE AS hit FROM o WHERE i = 1
-      UNION ALL SELECT o.match_id, o.i, o.t, CASE WHEN o.t >= w.kept + 1.0::DOUBLE THEN o.t ELSE w.kept END, o.t >= w.kept + 1.0::DOUBLE FROM w JOIN o ON o.match_id = w.match_id AND o.i = w.i + 1)
-    SELECT match_id, t FROM w WHERE hit)""")
-def throttle(spark, d):
-    return tracking.throttle(table(spark, d, "robot_tracks").where("match_id IS NOT NULL AND slot = 'red1'"), ["match_id"])
-
-
 @query("""WITH RECURSIVE o AS (
       SELECT match_id, t, row_number() OVER (PARTITION BY match_id ORDER BY t) AS i FROM (SELECT DISTINCT match_id, t FROM robot_tracks WHERE match_id IS NOT NULL AND t >= 0)),
     w AS (
@@ -331,7 +321,7 @@ def throttle(spark, d):
       UNION ALL SELECT o.match_id, o.i, o.t, CASE WHEN o.t >= w.kept + 1.0::DOUBLE THEN o.t ELSE w.kept END, o.t >= w.kept + 1.0::DOUBLE FROM w JOIN o ON o.match_id = w.match_id AND o.i = w.i + 1)
     SELECT match_id, t FROM w WHERE hit""")
 def throttle_frames(spark, d):
-    """The frames of whole matches, of all slots; `throttle` keeps to those of red1, as its SQL does."""
+    """The frames of whole matches, of all slots."""
     return tracking.throttle(table(spark, d, "robot_tracks").where("match_id IS NOT NULL"), ["match_id"])
 
 
@@ -359,6 +349,3 @@ def update_from_join(spark, d):
     o = latest_versions(table(spark, d, "official_matches"), "id", ["alliances"], "fetched_at").select(F.col("id").alias("re_match_id"), F.inline("alliances")).where("color = 'red'").select("re_match_id", F.col("score").alias("red"))
     m = matches(spark, d).select("id", "re_match_id", F.col("ocr_red_score").alias("red"))
     return store.update_from(m, o, ["re_match_id"], ["red"]).select("id", "red")
-
-
-

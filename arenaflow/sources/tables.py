@@ -68,6 +68,24 @@ def read_official(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).schema(page).json(path).select(F.inline("data"))
 
 
+#: Fields of the other endpoints' records, landed as JSON pages like the official ones.
+ENDPOINTS = {
+    "events": "id bigint, sku string, name string, season struct<id: bigint, name: string>, start string",
+    "divisions": "id bigint, name string, order int",
+    "teams": "id bigint, number string, team_name string, organization string",
+    "seasons": "id bigint, name string, start string, end string",
+}
+
+
+def read_pages(spark: SparkSession, path: str, endpoint: str) -> DataFrame:
+    """Records of an endpoint from files of pages {"data": [...]}; those of divisions also from an event's own record {"divisions": [...]}."""
+    record = T.ArrayType(T.StructType.fromDDL(ENDPOINTS[endpoint]))
+    page = T.StructType([T.StructField("data", record), T.StructField("divisions", record)])
+    got = spark.read.option("multiLine", True).schema(page).json(path)
+    inner = F.coalesce("data", "divisions") if endpoint == "divisions" else F.col("data")
+    return got.select(F.inline(inner))
+
+
 def search_events(events: DataFrame, sku: str | None = None, name: str | None = None, season: str | None = None) -> DataFrame:
     """Events by exact sku or season and by a part of the name in any case."""
     for col, v in (("sku", sku), ("season", season)):
@@ -122,3 +140,19 @@ def pending_images(images: DataFrame, annotated: DataFrame) -> DataFrame:
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """(path, size) of the files under path; their contents are not read."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path).select("path", F.col("length").alias("size"))
+
+
+# Colours of the label classes.
+LABEL_COLOURS = {"robot_red": "#e53935", "robot_blue": "#1e88e5", "block_red": "#ffb3b3", "block_blue": "#b3d1ff"}
+
+
+def label_config(classes: tuple[str, ...]) -> str:
+    """The labelling tool's description of an image with rectangles of the classes."""
+    lines = ['<View>', '  <Image name="image" value="$image" zoom="true"/>', '  <RectangleLabels name="label" toName="image">']
+    lines += [f'    <Label value="{c}" background="{LABEL_COLOURS.get(c, "#aaaaaa")}"/>' for c in classes]
+    return "\n".join([*lines, "  </RectangleLabels>", "</View>", ""])
+
+
+def dataset_yaml(root: str, classes: tuple[str, ...]) -> str:
+    """The training set's description: its root, both splits and the numbered classes."""
+    return "\n".join([f"path: {root}", "train: images/train", "val: images/val", "names:", *[f"  {i}: {c}" for i, c in enumerate(classes)], ""])
