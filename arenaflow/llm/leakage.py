@@ -20,6 +20,7 @@ the spans to remove.
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -48,16 +49,18 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text if text.isascii() else _DROP.sub("", unicodedata.normalize("NFKD", text)))
 
 
+@functools.lru_cache(maxsize=4096)
+def _plain(ch: str) -> str:
+    """What words_of makes of a character."""
+    return _DROP.sub("", unicodedata.normalize("NFKD", _DROP.sub("", unicodedata.normalize("NFKD", ch).casefold())))
+
+
 def word_places(text: str) -> list[tuple[int, int]]:
     """Per word of words_of its range of characters [from, to) in the text as it stands."""
-    plain, origin = [], []
-    for at, ch in enumerate(text):
-        if not ch.isascii():
-            ch = _DROP.sub("", unicodedata.normalize("NFKD", _DROP.sub("", unicodedata.normalize("NFKD", ch).casefold())))
-        else:
-            ch = _DROP.sub("", ch.lower())
-        plain.append(ch)
-        origin += [at] * len(ch)
+    if text.isascii() and not _DROP.search(text):
+        return [m.span() for m in _WORD.finditer(text)]
+    plain = [_plain(ch) for ch in text]
+    origin = [at for at, ch in enumerate(plain) for _ in ch]
     return [(origin[m.start()], origin[m.end() - 1] + 1) for m in _WORD.finditer("".join(plain))]
 
 
@@ -275,6 +278,7 @@ class _Shard:
         self.text = np.concatenate(whole)
         self.origin = np.concatenate(origin + skipped)
         self.start = np.cumsum(self.size + 1) - (self.size + 1)
+        self.doc = np.repeat(np.arange(len(docs)), self.size + 1)  # of a text position
         self.fm = FMIndex(np.concatenate(whole + skips), len(self.symbol) + 2)
 
     def leaks(self, items: _Items, min_words: int) -> dict[tuple[int, int], list[int]]:
@@ -316,7 +320,7 @@ class _Shard:
         where = where[np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k) + np.repeat(first[back], k)]
         boundary, place = items.boundary[use][of], items.place[use][of]
         item = items.of[boundary]
-        doc = np.searchsorted(self.start, where, side="right") - 1
+        doc = self.doc[where]
         # A stretch crosses `sure` groups in a row, each at most 4 * group document words after the one before.
         span = int(self.size.max()) + 8 * items.group + 1
         key = ((doc * (int(items.group_of[-1]) + 2)) + items.group_of[boundary]) * span + where - self.start[doc]
@@ -343,7 +347,7 @@ class _Shard:
         """Words of the longest stretch from each place (item word at text position) on, in the given direction, counted up to `most` and with the place itself."""
         reached = np.ones(len(where), np.int64)
         of = items.of[place]
-        doc = np.searchsorted(self.start, where, side="right") - 1
+        doc = self.doc[where]
         bounds = [items.start[of], items.start[of] + items.length[of], self.start[doc], self.start[doc] + self.size[doc]]
         # rows[-1][k, most + d]: words of the k-th stretch that ends with the item word now reached, d words off the diagonal.
         one, two = np.zeros((len(where), 2 * most + 1), np.int8), np.zeros((len(where), 2 * most + 1), np.int8)
@@ -383,9 +387,11 @@ def _shard_leaks(blocks, shard: list[tuple[int, str, list[str]]], min_words: int
     indexes += [held] if held else []
     found: dict[tuple[int, int, int], list[int]] = {}
     leaked: dict[tuple[int, int], tuple[int, list[str]]] = {}  # the items found
+    margin = 0
     for part in indexes:
         index = _Shard([shard[k][2][a : a + shard_words] for k, a in part])
         for b, items in enumerate(blocks()):
+            margin = 2 * ((items.sure + 2) * items.group + 2)
             for (d, i), places in index.leaks(items, min_words).items():
                 k, a = part[d]
                 found.setdefault((k, b, i), []).extend(p + a for p in places)
@@ -395,8 +401,9 @@ def _shard_leaks(blocks, shard: list[tuple[int, str, list[str]]], min_words: int
     for (k, b, i), at in sorted(found.items()):
         doc_id, text, words = shard[k]
         item_id, item = leaked[(b, i)]
-        # A stretch spans at most twice the item's words, to either side of a word that was found.
-        reach, spots = 2 * len(item) + 2, sorted(set(at))
+        # A stretch has a place that was found in each of its groups but the last ones, which a run of `sure` groups needs to
+        # begin with; so none of its words is further from such a place than those groups and two cut ones are long.
+        reach, spots = margin, sorted(set(at))
         doc: list[str | None] = []
         origin: list[int] = []
         to = 0

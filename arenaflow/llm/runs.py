@@ -211,6 +211,11 @@ def collapse_runs(
     group of their own; rows with the same keys, t and row_id count once; ties
     in t go by row_id; an empty table gives an empty result; other columns are
     ignored, whatever their names.
+
+    A chunk lists one way on per shrink of its box. For whole numbers every
+    shrink takes at least 1 off one side, so there are at most
+    2 * tolerance * len(values) + 2, whatever the rows; for real values that
+    drift slowly there may be one per row until the box is empty.
     """
     spark = df.sparkSession
     n = n_chunks or partitions(spark)
