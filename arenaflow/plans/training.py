@@ -48,11 +48,26 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return _grid(spark, d).where("missing").select("match_id", "grid_s")
 
 
+def p6_readings(spark: SparkSession, d: str) -> DataFrame:
+    return _grid(spark, d).select("match_id", "grid_s", "n_readings", "missing")
+
+
+def p6_filled(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of the smoothed values: a level and a deviation for every second of a match that ever has the value, near the readings of that second unless they are far off their neighbours."""
+    g = _grid(spark, d)
+    s = table(spark, d, "score_timeline").where("match_id IS NOT NULL AND t >= 0 AND t < 120")
+    seen = s.groupBy("match_id").agg(F.count("red_score").alias("n_red"), F.count("blue_score").alias("n_blue"))
+    return g.join(seen, "match_id").groupBy("match_id").agg(
+        F.every((F.col("n_red") > 0) == F.col("red_score").isNotNull()).alias("red_filled"), F.every((F.col("n_blue") > 0) == F.col("blue_score").isNotNull()).alias("blue_filled"),
+        F.every(F.coalesce(F.col("red_score_sd") > 0, F.lit(True)) & F.coalesce(F.col("blue_score_sd") > 0, F.lit(True))).alias("uncertain"), F.count("*").alias("n"),
+    )
+
+
 def p6_grid(spark: SparkSession, d: str) -> DataFrame:
     return _grid(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_flags, p3_found, p3_counts, p3_report, p6_found, p6_grid)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_flags, p3_found, p3_counts, p3_report, p6_found, p6_readings, p6_filled, p6_grid)}
 
 _ORPHANS_SQL = """
 WITH latest AS (
@@ -80,4 +95,10 @@ WITH s AS (SELECT DISTINCT match_id, CAST(floor(t) AS BIGINT) AS g FROM score_ti
            WHERE match_id IS NOT NULL AND t >= 0 AND t < 120 AND (red_score IS NOT NULL OR blue_score IS NOT NULL))
 SELECT match_id, grid_s FROM (SELECT DISTINCT match_id FROM s) m, range(0, 120) AS x(grid_s)
 WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.match_id = m.match_id AND s.g = x.grid_s)""",
+    "p6_readings": """
+WITH r AS (SELECT DISTINCT match_id, row_id, CAST(floor(t) AS BIGINT) AS g FROM score_timeline
+           WHERE match_id IS NOT NULL AND t >= 0 AND t < 120 AND (red_score IS NOT NULL OR blue_score IS NOT NULL))
+SELECT m.match_id, grid_s, count(r.row_id) AS n_readings, count(r.row_id) = 0 AS missing
+FROM (SELECT DISTINCT match_id FROM r) m CROSS JOIN range(0, 120) AS x(grid_s) LEFT JOIN r ON r.match_id = m.match_id AND r.g = x.grid_s GROUP BY m.match_id, grid_s""",
+    "p6_filled": "SELECT DISTINCT match_id, TRUE AS red_filled, TRUE AS blue_filled, TRUE AS uncertain, 120::BIGINT AS n FROM score_timeline WHERE match_id IS NOT NULL AND t >= 0 AND t < 120 AND (red_score IS NOT NULL OR blue_score IS NOT NULL)",
 }
