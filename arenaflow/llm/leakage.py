@@ -9,12 +9,11 @@ side by side and around one foreign word.
 A stretch goes on over single altered, added or dropped words, so from one of
 its words to the next it moves by one or two words in the item and in the
 document. It therefore crosses every boundary between two of the item's words
-by one of three pairs. Of each few boundaries in a row the search takes the one
-whose pairs the index counts least often, and a stretch of `min_words` words
-crosses a known number of those. Occurrences of that many of them near each
-other are located, extended word by word in both directions over all such
-moves, and kept if they reach `min_words`. No stretch is lost on the way. What
-is kept goes to an alignment that takes the best stretches in order and gives
+by one of three pairs. Of every `min_words` / 2 boundaries in a row the search
+takes the one whose pairs the index counts least often; a stretch of
+`min_words` words crosses at least one of those. Its pairs are located, extended
+word by word in both directions over all such moves, and kept if they reach
+`min_words`. No stretch is lost on the way. What is kept goes to an alignment that takes the best stretches in order and gives
 the spans to remove.
 """
 
@@ -240,9 +239,8 @@ class _Items:
         self.codes = np.array([code[w] for x in self.words for w in x], np.int64)
         of = np.repeat(np.arange(len(self.words)), self.length)
         at = np.arange(len(self.codes)) - self.start[of] if len(of) else of
-        # Any min_words words cross the boundaries of `sure` whole groups of `group` boundaries.
-        group = self.group = max(1, min_words // 4)
-        self.sure = (min_words - group) // group
+        # Any min_words words in a row have min_words - 1 boundaries, among them all of a group of half as many.
+        group = self.group = min_words // 2
         pairs, boundary, place = [], [], []
         for left, right in ((0, 1), (-1, 1), (0, 2)):  # words before and after the boundary that follows word `at`
             ok = np.flatnonzero((at + left >= 0) & (at + right < self.length[of]))
@@ -321,27 +319,35 @@ class _Shard:
         boundary, place = items.boundary[use][of], items.place[use][of]
         item = items.of[boundary]
         doc = self.doc[where]
-        # A stretch crosses `sure` groups in a row, each at most 4 * group document words after the one before.
-        span = int(self.size.max()) + 8 * items.group + 1
-        key = ((doc * (int(items.group_of[-1]) + 2)) + items.group_of[boundary]) * span + where - self.start[doc]
-        order = np.argsort(key)
-        where, place, item, doc, key = where[order], place[order], item[order], doc[order], key[order]
-        good = key
-        for _ in range(items.sure - 1):
-            at = np.searchsorted(good, key + span)
-            near = np.append(good, np.iinfo(np.int64).max)[at] - span - key <= 4 * items.group
-            # Chains that go on from these: one group further back each time.
-            good = key[near]
-        where, place, item, doc = where[near], place[near], item[near], doc[near]
-        if not len(where):
-            return
         # The same start may come from several pairs.
-        _, once = np.unique(where * len(items.codes) + place, return_index=True)
+        _, part = np.unique(where * len(items.codes) + place, return_index=True)
         text = known[items.codes]
-        for part in np.array_split(once, -(-len(once) // HITS_AT_ONCE)):
-            n_words = self._reach(text, items, where[part], place[part], min_words, 1) + self._reach(text, items, where[part], place[part], min_words, -1) - 1
-            for q in part[n_words >= min_words].tolist():
-                out.setdefault((int(doc[q]), int(item[q])), []).append(int(where[q] - self.start[doc[q]]))
+        # Of a stretch of min_words words half at least lie on one side of any of them: a short look both ways drops most of what is chance.
+        few = min_words // 2
+        part = part[self._goes_on(text, where[part], place[part], few, 1) | self._goes_on(text, where[part], place[part], few, -1)]
+        n_words = [self._reach(text, items, where[part], place[part], min_words, way) for way in (1, -1)]
+        part = part[n_words[0] + n_words[1] > min_words]
+        for q in part.tolist():
+            out.setdefault((int(doc[q]), int(item[q])), []).append(int(where[q] - self.start[doc[q]]))
+
+    def _goes_on(self, text: np.ndarray, where: np.ndarray, place: np.ndarray, links: int, way: int) -> np.ndarray:
+        """Whether so many more words follow each place in the given direction; borders of items and documents are not seen, so some that do not are let through."""
+        of, di, dj = np.arange(len(where)), np.zeros(len(where), np.int64), np.zeros(len(where), np.int64)
+        width = 2 * links + 1
+        for _ in range(links):
+            nexts = []
+            for a, b in MOVES:
+                i, j = place[of] + way * (di + a), where[of] + way * (dj + b)
+                inside = (i >= 0) & (i < len(text)) & (j >= 0) & (j < len(self.text))
+                ok = np.flatnonzero(inside & (text.take(i, mode="clip") == self.text.take(j, mode="clip")))
+                nexts.append((of[ok], di[ok] + a, dj[ok] + b))
+            of, di, dj = (np.concatenate(x) for x in zip(*nexts))
+            if len(of) > 4 * len(where):  # repeated words: many ways lead to one place
+                key = np.unique((of * width + di) * width + dj)
+                of, di, dj = key // width**2, key // width % width, key % width
+        out = np.zeros(len(where), bool)
+        out[of] = True
+        return out
 
     def _reach(self, text: np.ndarray, items: _Items, where: np.ndarray, place: np.ndarray, most: int, way: int) -> np.ndarray:
         """Words of the longest stretch from each place (item word at text position) on, in the given direction, counted up to `most` and with the place itself."""
@@ -391,7 +397,7 @@ def _shard_leaks(blocks, shard: list[tuple[int, str, list[str]]], min_words: int
     for part in indexes:
         index = _Shard([shard[k][2][a : a + shard_words] for k, a in part])
         for b, items in enumerate(blocks()):
-            margin = 2 * ((items.sure + 2) * items.group + 2)
+            margin = 2 * (2 * items.group + 2)
             for (d, i), places in index.leaks(items, min_words).items():
                 k, a = part[d]
                 found.setdefault((k, b, i), []).extend(p + a for p in places)
@@ -401,8 +407,8 @@ def _shard_leaks(blocks, shard: list[tuple[int, str, list[str]]], min_words: int
     for (k, b, i), at in sorted(found.items()):
         doc_id, text, words = shard[k]
         item_id, item = leaked[(b, i)]
-        # A stretch has a place that was found in each of its groups but the last ones, which a run of `sure` groups needs to
-        # begin with; so none of its words is further from such a place than those groups and two cut ones are long.
+        # A stretch has a place that was found in each whole group it crosses, so none of its words is further from such a
+        # place than two groups are long, at two document words each.
         reach, spots = margin, sorted(set(at))
         doc: list[str | None] = []
         origin: list[int] = []
@@ -445,8 +451,8 @@ def leaked_items(
     of items; these are collected and broadcast in blocks of at most
     ITEMS_PER_BLOCK, which the workers load one after the other.
     """
-    if min_words < 3:
-        raise ValueError("min_words must be at least 3")
+    if min_words < 2:
+        raise ValueError("min_words must be at least 2")
     spark = documents.sparkSession
     n_items = items.count()
     rows = items.select(F.col(item_id).cast("long").alias("i"), F.col(text).alias("t")).where("i IS NOT NULL AND t IS NOT NULL").distinct()
