@@ -5,8 +5,8 @@ come from multi-index Hamming hashing: vectors within r bits agree exactly on
 at least one of r + 1 disjoint sets of bit positions, so an equi-join on each
 set finds all of them and counting the bits of the exclusive or keeps just
 them. Whole records and alliances are searched so, within a tournament with a
-wider radius than across all of them; equal fields, vectors at distance 0, are
-joined by key: one of them within a tournament, two of them anywhere.
+wider radius than among those without one; equal fields, vectors at distance 0,
+are joined by key: one of them within a tournament, two of them anywhere.
 Candidates get Dice scores per field, either way round of the colours, a
 weighted mean of the fields present, and from that a confidence fitted on the
 records that are already matched. Exact copies are compared once.
@@ -154,21 +154,22 @@ def distinct_records(df: DataFrame, also: list[str]) -> tuple[DataFrame, DataFra
 
 
 def agreement_keys(df: DataFrame, name: str) -> DataFrame:
-    """(name, key): a record's agreements that prove a pair worth scoring, whichever side holds which colour.
+    """(name, key, weak): a record's agreements that prove a pair worth scoring, whichever side holds which colour.
 
     Within a tournament one undamaged field is enough: a team, the name or both
-    scores; whatever the tournament, two teams, a team and the name, a team and
-    both scores, or the name and both scores. What is null gives no key.
+    scores; whatever the tournament, two teams, or both scores and a team or the
+    name. Where a side has no tournament also (weak) a team and the name; across two
+    known tournaments these agree by chance too often. What is null gives no key.
     """
     teams = [F.col(c) for c in ("r1", "r2", "b1", "b2")]
     low, high = F.least("rs", "bs"), F.greatest("rs", "bs")  # of two numbers
     both = F.col("rs").isNotNull() & F.col("bs").isNotNull()
 
-    def key(kind: str, *parts: Column) -> Column:
+    def key(kind: str, *parts: Column, weak: bool = False) -> Column:
         there = F.lit(True)
         for p in parts:
             there = there & p.isNotNull()
-        return F.when(there, F.xxhash64(F.lit(kind), *parts))
+        return F.when(there, F.struct(F.xxhash64(F.lit(kind), *parts).alias("key"), F.lit(weak).alias("weak")))
 
     def scored(k: Column) -> Column:
         return F.when(both, k)
@@ -176,26 +177,26 @@ def agreement_keys(df: DataFrame, name: str) -> DataFrame:
     name_, sku = F.col("name"), F.col("sku")
     keys = [scored(key("name, scores", name_, low, high)), key("tournament, name", sku, name_), scored(key("tournament, scores", sku, low, high))]
     for i, team in enumerate(teams):
-        keys += [key("team, name", team, name_), scored(key("team, scores", team, low, high)), key("tournament, team", sku, team)]
+        keys += [key("team, name", team, name_, weak=True), scored(key("team, scores", team, low, high)), key("tournament, team", sku, team)]
         for mate in teams[i + 1 :]:
             keys.append(F.when(team.isNotNull() & mate.isNotNull(), key("teams", F.least(team, mate), F.greatest(team, mate))))
-    return df.select(F.col("id").alias(name), F.explode(F.array_distinct(F.array_compact(F.array(*keys)))).alias("key"))
+    return df.select(F.col("id").alias(name), "sku", F.inline(F.array_distinct(F.array_compact(F.array(*keys)))))
 
 
-def candidates(left: DataFrame, right: DataFrame, wide: int = 12, near: int = 4, narrow: int = 2) -> DataFrame:
-    """(lid, rid): whole records within `wide` bits of one tournament or of no known one; an alliance within `near` bits in one tournament and within `narrow` anywhere; and pairs with an agreement key. No record meets all others of its tournament."""
-    somewhere = F.coalesce(F.col("sku"), F.lit("?"))
+def candidates(left: DataFrame, right: DataFrame, wide: int = 12, near: int = 4, loose: int = 6) -> DataFrame:
+    """(lid, rid): whole records within `wide` bits in one tournament, and within `loose` bits where neither has one; alliances within `near` bits in one tournament; and pairs with an agreement key. No record meets all others of its tournament."""
 
     def wholes(df: DataFrame) -> DataFrame:
-        return df.where("coalesce(name, r1, r2, b1, b2) IS NOT NULL").select("id", F.col("all_v").alias("v"), somewhere.alias("sku"))
+        return df.where("coalesce(name, r1, r2, b1, b2) IS NOT NULL").select("id", F.col("all_v").alias("v"), F.coalesce(F.col("sku"), F.lit("")).alias("sku"))
 
     def alliances(df: DataFrame) -> DataFrame:
-        return union_all([df.where(f"{c} IS NOT NULL").select("id", F.col(f"{side}_v").alias("v"), "sku") for side, c in (("red", "coalesce(r1, r2)"), ("blue", "coalesce(b1, b2)"))])
+        return union_all([df.where(f"sku IS NOT NULL AND {c} IS NOT NULL").select("id", F.col(f"{side}_v").alias("v"), "sku") for side, c in (("red", "coalesce(r1, r2)"), ("blue", "coalesce(b1, b2)"))])
 
-    agree = agreement_keys(left, "lid").join(agreement_keys(right, "rid"), "key").select("lid", "rid")
-    here = [alliances(df).where("sku IS NOT NULL") for df in (left, right)]
-    anywhere = [alliances(df).withColumn("sku", F.lit("")) for df in (left, right)]
-    return union_all([agree, hamming_pairs(wholes(left), wholes(right), ["sku"], 4, wide), hamming_pairs(*here, ["sku"], 2, near), hamming_pairs(*anywhere, ["sku"], 2, narrow)]).distinct()
+    a, b = agreement_keys(left, "lid"), agreement_keys(right, "rid").withColumnRenamed("sku", "r_sku")
+    strong = a.where("NOT weak").join(b.where("NOT weak").drop("weak"), "key").select("lid", "rid")
+    weak = [a.where(f"weak AND sku {x}").join(b.where(f"weak {y}").drop("weak"), "key").select("lid", "rid") for x, y in (("IS NULL", ""), ("IS NOT NULL", "AND r_sku IS NULL"))]
+    here, nowhere = ([wholes(df).where(f"sku {op} ''") for df in (left, right)] for op in ("<>", "="))
+    return union_all([strong, *weak, hamming_pairs(*here, ["sku"], 4, wide), hamming_pairs(*nowhere, ["sku"], 4, loose), hamming_pairs(alliances(left), alliances(right), ["sku"], 2, near)]).distinct()
 
 
 def field_scores(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
