@@ -482,3 +482,33 @@ def archetypes(spark, d):
     e = table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").alias("vector"))
     seeds = e.where("label IS NOT NULL").select("vec_id", F.concat(F.lit("kind"), F.col("label").cast("string")).alias("archetype"))
     return insights.archetypes(e.select("vec_id", "vector"), seeds, ["vec_id"])
+
+
+@query("WITH f AS (SELECT unnest([" + ", ".join(f"'{f}'" for f in insights.WIN_FEATURES) + "]) AS feature) SELECT feature, TRUE AS abs_right, TRUE AS accurate FROM f")
+def win_conditions_check(spark, d):
+    """What must hold of the regression at any number of rows: a row per feature, absolute values, and at least half of the rows hit."""
+    w = insights.win_conditions(features.match_features(_robots(spark, d)), least=2)
+    return w.select("feature", (F.abs("coef") == F.col("abs_coef")).alias("abs_right"), F.col("accuracy").between(0.5, 1.0).alias("accurate"))
+
+
+@query(_RM + ", k AS (SELECT * FROM full_rm WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _STYLE) + ") SELECT count(*) AS n_robots, count(won) AS n_decided, TRUE AS five_clusters, TRUE AS near_own_centre FROM k")
+def playstyle_check(spark, d):
+    """What must hold of k-means: every complete row has one of five clusters, and its standardized features lie nearer to the mean of its own cluster than to any other."""
+    c = insights.playstyle_clusters(_robots(spark, d))
+    z = insights.standardized(c, insights.STYLE_FEATURES)
+    v = F.array(*insights.STYLE_FEATURES)
+    # One row per cluster, five at most.
+    means = z.groupBy("cluster").agg(*[F.avg(f).alias(f) for f in insights.STYLE_FEATURES]).collect()
+    centres = F.array(*[F.struct(F.lit(r["cluster"]).alias("cluster"), F.array(*[F.lit(r[f]) for f in insights.STYLE_FEATURES]).alias("centre")) for r in means])
+    far = lambda x: F.aggregate(F.zip_with(v, x["centre"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, e: s + e)
+    m = z.withColumn("nearest", F.array_min(F.transform(centres, lambda x: F.struct(F.round(far(x), 9).alias("d"), x["cluster"].alias("cluster"))))["cluster"])
+    return m.agg(F.count("*").alias("n_robots"), F.count("won").alias("n_decided"), (F.countDistinct("cluster") == F.least(F.lit(5), F.count("*"))).alias("five_clusters"), (F.avg((F.col("nearest") == F.col("cluster")).cast("double")) > 0.98).alias("near_own_centre"))
+
+
+@query("SELECT vec_id, 'kind' || label AS label, TRUE AS sure FROM embeddings")
+def archetypes_check(spark, d):
+    """Every vector comes out once, with a probability that is the largest of all kinds'."""
+    e = table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").alias("vector"))
+    kinds = e.where("label IS NOT NULL").select("label").distinct().count()
+    a = archetypes(spark, d)
+    return a.join(e.select("vec_id", F.concat(F.lit("kind"), F.col("label").cast("string")).alias("label")), "vec_id").select("vec_id", "label", F.col("archetype_conf").between(1 / kinds, 1.0).alias("sure"))

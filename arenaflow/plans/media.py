@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as geo
 from ..functions import parsing as ps
 from ..game import PUSHBACK
-from ..operators import calibration, clusters, export, features, ingest, insights, overlay, quantiles, segment, store
+from ..operators import clusters, export, features, ingest, insights, overlay, quantiles, segment, store, tracking
 from ..runtime import shared_dir, table
 from ..sources import tables
 from .base import MA, SC, TR, VI, matches, query, r6, rounded, scores, tracks, videos
@@ -246,6 +246,18 @@ def ground_contact(spark, d):
     return rounded(tracks(spark, d).select("row_id", fx.cast("double").alias("foot_x"), fy.cast("double").alias("foot_y")))
 
 
+_FOOT = "ft AS (SELECT row_id, floor(x_in * 12) - 60 + 4.5::DOUBLE AS u, floor(y_in * 6) + 12 AS v FROM tr), pr AS (SELECT row_id, (0.1::DOUBLE * u + 5) / (1 + 0.0005::DOUBLE * v) AS gx, (0.2::DOUBLE * v + 3) / (1 + 0.0005::DOUBLE * v) AS gy FROM ft)"
+
+
+@query(f"WITH {TR}, {_FOOT} SELECT row_id, round(greatest(0, least(140.4::DOUBLE, gx)), 6) AS x, round(greatest(0, least(140.4::DOUBLE, gy)), 6) AS y FROM pr WHERE gx BETWEEN -6 AND 146.4::DOUBLE AND gy BETWEEN -6 AND 146.4::DOUBLE")
+def field_positions(spark, d):
+    """Boxes in pixels to places on the field; those far out are dropped, those just out cut to it."""
+    x0, y0 = F.floor(F.col("x_in") * 12) - 60, F.floor(F.col("y_in") * 6)
+    h = F.array(*[F.lit(v) for v in (0.1, 0.0, 5.0, 0.0, 0.2, 3.0, 0.0, 0.0005, 1.0)])
+    t = tracks(spark, d).select("row_id", x0.cast("double").alias("x0"), (x0 + 9).cast("double").alias("x1"), (y0 + 12).cast("double").alias("y1"), h.alias("h"))
+    return rounded(tracking.field_positions(t).select("row_id", "x", "y"))
+
+
 _BLOB = "bl AS (SELECT row_id, CAST(row_id % 41 AS DOUBLE) + 1 AS w, CAST(row_id % 29 AS DOUBLE) + 1 AS h, CAST(row_id % 301 AS DOUBLE) AS area FROM tr)"
 
 

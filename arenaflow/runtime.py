@@ -69,12 +69,6 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def finite(c: str | Column) -> Column:
-    """The column with NaN as null."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.when(~F.isnan(c), c)
-
-
 def stripped(c: str | Column) -> Column:
     """Trimmed of spaces and tabs; blank becomes null."""
     c = F.col(c) if isinstance(c, str) else c

@@ -56,6 +56,11 @@ def write_documents(docs: DataFrame, out: str) -> None:
     docs.select("match_id", F.col("body").alias("value")).repartition("match_id").write.mode("overwrite").partitionBy("match_id").text(out)
 
 
+def pack_documents(docs: DataFrame, out: str, files: int) -> None:
+    """The same documents (match_id, body) in few files, in ranges of match_id, so that a reader of one match skips all files but one."""
+    docs.select("match_id", "body").repartitionByRange(files, "match_id").sortWithinPartitions("match_id").write.mode("overwrite").parquet(out)
+
+
 def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
     """(video, title) of <video>.info.json files."""
     d = spark.read.option("multiLine", True).schema("title string, channel string, uploader string").json(path)

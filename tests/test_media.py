@@ -13,7 +13,7 @@ from arenaflow.functions import geometry as geo
 from arenaflow.game import PUSHBACK
 from arenaflow.operators import calibration, clusters, ingest, quantiles, store
 from arenaflow.operators.tracking import mutual_pairs
-from arenaflow.sources import rest, tables
+from arenaflow.sources import detectors, rest, tables
 
 
 def test_stride_and_period(spark):
@@ -126,6 +126,25 @@ def test_label_files(spark, tmp_path):
     assert len(got) == 1 and got[0]["path"].endswith("a/x.jpg") and got[0]["size"] == 5
 
 
+def test_packed_documents(spark, tmp_path):
+    docs = spark.range(40).selectExpr("id AS match_id", "concat('{', id, '}') AS body")
+    tables.pack_documents(docs, str(tmp_path / "p"), 3)
+    back = spark.read.parquet(str(tmp_path / "p"))
+    assert back.count() == 40 and len(back.inputFiles()) <= 3 and back.where("match_id = 7").collect()[0]["body"] == "{7}"
+
+
+def test_text_reader_hook_falls_back(spark):
+    def broken():
+        raise RuntimeError("no engine")
+
+    def other():
+        return lambda image: [(image.decode(), 0.5, (0.0, 0.0, 1.0, 1.0))]
+
+    frames = spark.createDataFrame([("v", 1.0, "full", b"1:45"), ("v", 2.0, "full", b"x")], "video_id string, video_ts double, region string, image binary")
+    got = detectors.read_text(frames, broken, other).orderBy("video_ts").collect()
+    assert [(r["text"], r["pos"]) for r in got] == [("1:45", 0), ("x", 0)]
+
+
 class _Pages(http.server.BaseHTTPRequestHandler):
     seen: list[str] = []
 
