@@ -24,6 +24,11 @@ def p2_flags(spark: SparkSession, d: str) -> DataFrame:
     return _flags(spark, d).select("tab", "row_id", "field", "impossible", "stuck", "spike")
 
 
+def p2_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """The flags that no model decides: impossible values and constant stretches."""
+    return _flags(spark, d).where("impossible OR stuck").select("tab", "row_id", "field", "impossible", "stuck")
+
+
 def _orphans(spark: SparkSession, d: str) -> DataFrame:
     return orphans.league_orphans(table(spark, d, "matches"), table(spark, d, "videos"), table(spark, d, "tournaments"))
 
@@ -67,7 +72,7 @@ def p6_grid(spark: SparkSession, d: str) -> DataFrame:
     return _grid(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_flags, p3_found, p3_counts, p3_report, p6_found, p6_readings, p6_filled, p6_grid)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_flags, p2_ranges, p3_found, p3_counts, p3_report, p6_found, p6_readings, p6_filled, p6_grid)}
 
 _ORPHANS_SQL = """
 WITH latest AS (
@@ -87,6 +92,18 @@ WITH latest AS (
 ), found AS (SELECT DISTINCT ref_field, row_key, state, period FROM each)""".replace("\t", "'||chr(9)||'")
 
 SQL = {
+    "p2_ranges": """
+WITH tk AS (SELECT DISTINCT row_id, match_id || '/' || slot AS src, t, x_in, y_in FROM robot_tracks WHERE conf > 0 AND match_id IS NOT NULL AND slot IS NOT NULL AND t IS NOT NULL AND x_in IS NOT NULL AND y_in IS NOT NULL),
+st AS (SELECT DISTINCT row_id, CAST(match_id AS VARCHAR) AS src, t, red_score, blue_score FROM score_timeline WHERE match_id IS NOT NULL AND t IS NOT NULL),
+v AS (
+  SELECT 'robot_tracks' AS tab, 'x_in' AS field, src, t, row_id, x_in AS v, -6.0 AS lo, 146.4 AS hi, 3.0 AS s FROM tk
+  UNION ALL SELECT 'robot_tracks', 'y_in', src, t, row_id, y_in, -6.0, 146.4, 3.0 FROM tk
+  UNION ALL SELECT 'score_timeline', 'red_score', src, t, row_id, red_score, 0, 400, 25 FROM st WHERE red_score IS NOT NULL
+  UNION ALL SELECT 'score_timeline', 'blue_score', src, t, row_id, blue_score, 0, 400, 25 FROM st WHERE blue_score IS NOT NULL
+), c AS (SELECT *, CASE WHEN v = lag(v) OVER w THEN 0 ELSE 1 END AS new FROM v WINDOW w AS (PARTITION BY field, src ORDER BY t, row_id)),
+g AS (SELECT *, sum(new) OVER (PARTITION BY field, src ORDER BY t, row_id) AS stretch FROM c),
+e AS (SELECT *, max(t) OVER q - min(t) OVER q AS lasts, count(*) OVER q AS n FROM g WINDOW q AS (PARTITION BY field, src, stretch))
+SELECT tab, row_id, field, v < lo OR v > hi AS impossible, lasts >= s - 1e-9 AND n > 1 AS stuck FROM e WHERE v < lo OR v > hi OR (lasts >= s - 1e-9 AND n > 1)""",
     "p3_found": _ORPHANS_SQL + " SELECT * FROM found WHERE state IS NOT NULL",
     "p3_counts": _ORPHANS_SQL + " SELECT ref_field, state, period, count(*) AS n_refs, count(DISTINCT row_key) AS n_rows FROM found WHERE state IS NOT NULL GROUP BY 1, 2, 3",
     "p3_report": _ORPHANS_SQL + " SELECT ref_field, period, state, count(*) AS n_refs, count(DISTINCT key) AS n_keys FROM each WHERE state IS NOT NULL GROUP BY 1, 2, 3",
