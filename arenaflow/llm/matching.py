@@ -146,9 +146,9 @@ def official_profiles(official: DataFrame) -> DataFrame:
 
 
 def distinct_records(df: DataFrame, also: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(records, members): of rows equal in FIELDS and `also` one record with the least id and their number n; (id, copy) of every row, copy being the key of its record."""
+    """(records, members): of rows equal in FIELDS and `also` one record with the least id and their number n; (id, copy, `also`) of every row, copy being the key of its record."""
     cols = [*FIELDS, *also]
-    keyed = df.withColumn("copy", F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256))
+    keyed = materialize(df.withColumn("copy", F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256)), "keyed")
     records = keyed.groupBy("copy").agg(F.min("id").alias("id"), F.count("*").alias("n"), *[F.first(c).alias(c) for c in cols])
     return records, keyed.select("id", "copy", *also)
 
@@ -289,8 +289,8 @@ def match_official(matches: DataFrame, official: DataFrame, tournaments: DataFra
     one id count once, the last loaded; empty tables give an empty result; other
     columns are ignored, whatever their names.
     """
-    left, members = (materialize(x, "left") for x in distinct_records(match_profiles(matches, tournaments), ["known", "re_match_id"]))
-    right, partners = (materialize(x, "right") for x in distinct_records(official_profiles(official), []))
+    left, members = distinct_records(match_profiles(matches, tournaments), ["known", "re_match_id"])
+    right, partners = distinct_records(official_profiles(official), [])
     left, right = materialize(_profiles(left), "left"), materialize(_profiles(right), "right")
     partner = partners.join(right.select("copy", F.col("id").alias("partner")), "copy").select(F.col("id").alias("re_match_id"), "partner")
     whose = left.select(F.col("id").alias("lid"), "n", "re_match_id").join(partner, "re_match_id", "left")

@@ -163,7 +163,7 @@ def mixture(
     ignored, whatever their names.
     """
     rows = targets.select(source_label("source").alias("source"), F.col("target_share").cast("double").alias("share"), F.col("max_repeat").cast("int").alias("most"))
-    want = materialize(rows.where("source IS NOT NULL AND share > 0 AND most > 0").groupBy("source").agg(F.sum("share").alias("share"), F.max("most").alias("most")), "targets")
+    want = rows.where("source IS NOT NULL AND share > 0 AND most > 0").groupBy("source").agg(F.sum("share").alias("share"), F.max("most").alias("most"))
 
     def small(df: DataFrame) -> DataFrame:
         """A table of at most one row per target, for broadcast if they are few enough."""
