@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
 from ..game import PUSHBACK, Game, zones_like
+from ..runtime import materialize
 from .quantiles import exact_percentile
 
 
@@ -84,7 +85,7 @@ def behavioral_features(tracks: DataFrame, matches: DataFrame, game: Game = PUSH
     """The eight-number profile per event and team over all its matches; a reading in two zones of one kind counts twice."""
     seen = tracks.where("conf > 0 AND team IS NOT NULL").select("match_id", "t", "team", "x_in", "y_in", "row_id")
     seen = seen.join(matches.select(F.col("id").alias("match_id"), "event_id").where("event_id IS NOT NULL"), "match_id")
-    m = with_motion(seen, ["event_id", "team", "match_id"], ["t", "row_id"])
+    m = materialize(with_motion(seen, ["event_id", "team", "match_id"], ["t", "row_id"]).select("event_id", "team", "x_in", "y_in", "speed"), "motion")  # read three times below
     x, y = F.col("x_in"), F.col("y_in")
 
     def kind(k: str) -> Column:

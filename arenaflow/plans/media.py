@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
 from ..functions import parsing as ps
 from ..game import PUSHBACK
 from ..operators import clusters, export, features, ingest, insights, overlay, quantiles, segment, store, tracking
-from ..runtime import shared_dir, table
+from ..runtime import scratch, table
 from ..sources import tables
 from .base import MA, SC, TR, VI, matches, query, r6, rounded, scores, tracks, videos
 
@@ -333,6 +331,41 @@ def label_config(spark, d):
     return spark.createDataFrame([row], "config string, yaml_length long")
 
 
+@query(
+    f"""WITH {MA}, {VI}, {TR}, {SC} SELECT 'matches' AS name, count(*) AS n, count(video_end_ts) AS filled FROM ma UNION ALL SELECT 'score_timeline', count(*), count(red_score) FROM sc UNION ALL SELECT 'robot_tracks', count(*), count(team) FROM tr
+    UNION ALL SELECT 'events', 0, 0 UNION ALL SELECT 'videos', 0, 0 UNION ALL SELECT 'calibrations', 0, 0 UNION ALL SELECT 'zone_states', 0, 0 UNION ALL SELECT 'team_robots', 0, 0"""
+)
+def store_round_trip(spark, d):
+    """Tables exported and opened again as a store: those with rows are there with their columns, the others empty."""
+    path = scratch(spark, "store")
+    kept = {"matches": matches(spark, d), "score_timeline": scores(spark, d), "robot_tracks": tracks(spark, d)}
+    tables.export_tables({k: tables.conform(v, k) for k, v in kept.items()}, path)
+    filled = {"matches": "video_end_ts", "score_timeline": "red_score", "robot_tracks": "team"}
+    out = None
+    for name, df in tables.open_store(spark, path).items():
+        n = df.agg(F.lit(name).alias("name"), F.count("*").alias("n"), F.count(filled[name]).alias("filled") if name in filled else F.lit(0).cast("long").alias("filled"))
+        out = n if out is None else out.union(n)
+    return out
+
+
+@query(f"WITH {MA} SELECT id AS match_id, name FROM ma")
+def documents_round_trip(spark, d):
+    """A JSON document per match in few files, and read again."""
+    path = scratch(spark, "documents")
+    docs = matches(spark, d).select(F.col("id").alias("match_id"), F.to_json(F.struct("name")).alias("body"))
+    tables.pack_documents(docs, path, 4)
+    return spark.read.parquet(path).select("match_id", F.get_json_object("body", "$.name").alias("name"))
+
+
+@query("SELECT 'parquet' AS kind, TRUE AS listed, TRUE AS sized")
+def file_listing(spark, d):
+    """The files of a written table by pattern, without their contents."""
+    path = scratch(spark, "files")
+    table(spark, d, "nation").repartition(3).write.parquet(path)
+    f = tables.list_files(spark, path, "*.parquet")
+    return f.agg(F.lit("parquet").alias("kind"), F.count("*").between(1, 3).alias("listed"), F.every(F.col("size") > 0).alias("sized"))
+
+
 # Small helpers.
 
 
@@ -417,7 +450,7 @@ def set_operations(spark, d):
 @query(f"WITH {TR} SELECT match_id, count(*) AS n, CASE WHEN match_id % 3 = 0 THEN 'first' ELSE 'second' END AS pass FROM tr GROUP BY match_id")
 def incremental_tracks(spark, d):
     """A table filled for a third of the matches, then for those it lacks: the second pass leaves the first one's rows as they are."""
-    path = f"{shared_dir(spark)}/arenaflow-incremental-{uuid.uuid4().hex}"
+    path = scratch(spark, "incremental")
     counts = tracks(spark, d).groupBy("match_id").agg(F.count("*").alias("n")).withColumn("bucket", F.pmod("match_id", F.lit(3)))
     done = counts.where("bucket = 0").withColumn("pass", F.lit("first"))
     store.append(done.select("match_id", "n", "pass", "bucket").repartition("bucket"), path, ["bucket"])

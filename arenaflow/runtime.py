@@ -33,6 +33,13 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there is deleted when the driver ends."""
+    path = f"{shared_dir(spark)}/arenaflow-{name}-{uuid.uuid4().hex}"
+    atexit.register(_drop, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as a parquet table in the shared folder and read it back.
 
@@ -41,9 +48,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     is deleted when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/arenaflow-{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
-    atexit.register(_drop, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), path)
     return spark.read.schema(df.schema).parquet(path)
 
 
