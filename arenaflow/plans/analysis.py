@@ -274,18 +274,15 @@ def parse_samples(spark, d):
     return s.select("video_id", "video_ts", "timer", "match_name", F.try_element_at("red_teams", F.lit(1)).alias("red_team"), F.try_element_at("blue_teams", F.lit(1)).alias("blue_team"), "red_score", "blue_score")
 
 
-@query(None)
+@query(
+    f"""WITH {SC} SELECT 'v' || match_id AS video_id, t AS video_ts, 0 AS timer_x0, 0 AS timer_y0, 75 AS timer_x1, 42 AS timer_y1, 0 AS label_x0, 36 AS label_y0, 80 AS label_x1, 55 AS label_y1, 0 AS panel_x0, 85 AS panel_y0, 1280 AS panel_x1, 720 AS panel_y1
+    FROM sc WHERE match_id IS NOT NULL AND red_score BETWEEN 0 AND 400 AND blue_score BETWEEN 0 AND 400 AND t BETWEEN 0 AND 120 GROUP BY match_id, t"""
+)
 def locate_regions(spark, d):
     r = overlay.locate(_ocr(spark, d).withColumn("region", F.lit("full")))
     return r.select("video_id", "video_ts", *[F.col(f"{g}.{c}").alias(f"{g}_{c}") for g in ("timer", "label", "panel") for c in ("x0", "y0", "x1", "y1")])
 
 
-@query(None)
-def segment_matches(spark, d):
-    s = segment.segment(overlay.samples(_ocr(spark, d)))
-    return s.select("video_id", "name", "start_ts", "auton_end_ts", "end_ts", F.size("scores").alias("n_scores"), segment.tail_median(F.transform("scores", lambda x: x["red"])).alias("final_red"), "notes")
-
-
 # Streams of several matches, 200 s apart; the timer is lost in every fifth stretch of seven seconds, the name shows twice in three.
 _STREAM = """sm AS (
   SELECT match_id % 20 AS video, match_id // 20 * 200 + t AS ts, CASE WHEN t <= 120 AND CAST(floor(t / 7) AS BIGINT) % 5 <> 3 THEN CASE WHEN t <= 15 THEN 15 - CAST(floor(t) AS INTEGER) ELSE least(120 - CAST(floor(t) AS INTEGER), 105) END END AS timer,
@@ -322,15 +319,18 @@ _STEPS = """w AS (
             FROM w JOIN o ON o.video = w.video AND o.i = w.i + 1))))))"""
 
 
-@query(
-    f"""WITH RECURSIVE {SC}, {_STREAM}, {_STEPS}, lasts AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY video ORDER BY i DESC) = 1),
+def _spans_sql(stream: str) -> str:
+    """The spans of the samples sm (video, ts, timer, name, red), in order in o, as the steps close them."""
+    return f"""WITH RECURSIVE {SC}, {stream}, {_STEPS}, lasts AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY video ORDER BY i DESC) = 1),
     spans AS (
       SELECT video, done_i AS open_i, done_name AS name, done_start AS start, done_auton AS auton, done_end AS fin, done_missed AS missed FROM w WHERE done_i IS NOT NULL
       UNION ALL SELECT video, open_i, name, start, auton, NULL, missed FROM lasts WHERE phase = 'drive'),
     tail AS (SELECT s.video, s.open_i, count(*) AS n_scores, list_sort((list(o.red ORDER BY o.i DESC))[1:5]) AS r FROM spans s JOIN w ON w.video = s.video AND w.into_i = s.open_i JOIN o ON o.video = w.video AND o.i = w.i WHERE o.red IS NOT NULL AND o.ts >= s.start GROUP BY s.video, s.open_i)
     SELECT 'v' || s.video AS video_id, s.name, round(start, 6) AS start_ts, round(auton, 6) AS auton_end_ts, round(fin, 6) AS end_ts, CASE WHEN missed THEN 'auton-missed' END AS notes, coalesce(n_scores, 0) AS n_scores, r[len(r) // 2 + 1] AS final_red
     FROM spans s LEFT JOIN tail ON tail.video = s.video AND tail.open_i = s.open_i"""
-)
+
+
+@query(_spans_sql(_STREAM))
 def segment_streams(spark, d):
     """The state machine over streams of several matches with lost timers and partial names."""
     f = F.floor("t")
@@ -345,6 +345,20 @@ def segment_streams(spark, d):
     return rounded(r.select("video_id", "name", "start_ts", "auton_end_ts", "end_ts", "notes", F.size("scores").cast("long").alias("n_scores"), segment.tail_median(F.transform("scores", lambda x: x["red"])).alias("final_red")))
 
 
+# The overlay of _ocr: one stream per match, a timer, a name and both scores in every sample.
+_OVERLAY = """sm AS (
+  SELECT match_id AS video, t AS ts, CASE WHEN t <= 15 THEN 15 - CAST(floor(t) AS INTEGER) ELSE least(120 - CAST(floor(t) AS INTEGER), 105) END AS timer, 'Q' || match_id AS name, max(red_score) AS red
+  FROM sc WHERE match_id IS NOT NULL AND red_score BETWEEN 0 AND 400 AND blue_score BETWEEN 0 AND 400 AND t BETWEEN 0 AND 120 GROUP BY match_id, t
+), o AS (SELECT *, row_number() OVER (PARTITION BY video ORDER BY ts, timer) AS i FROM sm)"""
+
+
+@query(_spans_sql(_OVERLAY))
+def segment_matches(spark, d):
+    s = segment.segment(overlay.samples(_ocr(spark, d)))
+    s = s.select("video_id", "name", "start_ts", "auton_end_ts", "end_ts", F.size("scores").cast("long").alias("n_scores"), segment.tail_median(F.transform("scores", lambda x: x["red"])).alias("final_red"), "notes")
+    return rounded(s)
+
+
 def _detections(spark, d):
     """Tracks as detections whose ids change every 20 seconds."""
     t = tracks(spark, d).where("conf > 0")
@@ -355,7 +369,51 @@ def _detections(spark, d):
     )
 
 
-@query(None)
+#: Start places of the slots, as the SQL side sees them.
+_SLOTS = {"red1": (10.0, 88.0), "red2": (10.0, 52.0), "blue1": (130.4, 88.0), "blue2": (130.4, 52.0)}
+
+
+def _slot_sql() -> str:
+    """The slot rule as a recursion over frames: per slot the ids it owns (o), its place (p), its reading in the frame (r), and whether that was a hand-off (h)."""
+    seeds = ""
+    for s, (x, y) in _SLOTS.items():
+        other = {"red2": "AND tid IS DISTINCT FROM o_red1", "blue2": "AND tid IS DISTINCT FROM o_blue1"}.get(s, "")
+        src = "b0" if s == "red1" else "b_" + list(_SLOTS)[list(_SLOTS).index(s) - 1]
+        seeds += f"b_{s} AS (SELECT b.*, (SELECT arg_min(tid, (sqrt((x - {x}::DOUBLE) ** 2 + (y - {y}::DOUBLE) ** 2), k)) FROM latest l WHERE l.match_id = b.match_id AND colour = '{s[:-1]}' {other}) AS o_{s} FROM {src} b), "
+    owned = [f"w.o_{s}, w.p_{s}, list_filter(fr.dets, lambda d: list_contains(w.o_{s}, d.tid))[1] AS d_{s}" for s in _SLOTS]
+    layers = """SELECT w.match_id, fr.i, fr.t, fr.dets, list_filter(fr.dets, lambda d: NOT list_contains(list_concat(list_concat(w.o_red1, w.o_red2), list_concat(w.o_blue1, w.o_blue2)), d.tid)) AS free_0, """ + ", ".join(owned) + " FROM w JOIN fr ON fr.match_id = w.match_id AND fr.i = w.i + 1"
+    before = "free_0"
+    for s in _SLOTS:
+        layers = f"SELECT *, CASE WHEN d_{s} IS NULL AND p_{s} IS NOT NULL THEN list_sort(list_filter(list_transform({before}, lambda f, k: {{'d': sqrt((f.x - p_{s}.x) ** 2 + (f.y - p_{s}.y) ** 2), 'k': k, 'f': f}}), lambda z: z.f.colour = '{s[:-1]}' AND z.d < 30))[1].f END AS t_{s} FROM ({layers})"
+        layers = f"SELECT *, CASE WHEN t_{s} IS NULL THEN {before} ELSE list_filter({before}, lambda f: f <> t_{s}) END AS free_{s} FROM ({layers})"
+        before = f"free_{s}"
+    state = ", ".join(f"CASE WHEN t_{s} IS NULL THEN o_{s} ELSE list_append(o_{s}, t_{s}.tid) END AS o_{s}, coalesce(d_{s}, t_{s}, p_{s}) AS p_{s}, coalesce(d_{s}, t_{s}) AS r_{s}, t_{s} IS NOT NULL AS h_{s}" for s in _SLOTS)
+    none = "NULL::STRUCT(colour VARCHAR, tid BIGINT, x DOUBLE, y DOUBLE, conf DOUBLE)"
+    start = ", ".join(f"CASE WHEN o_{s} IS NULL THEN []::BIGINT[] ELSE [o_{s}] END AS o_{s}, {none} AS p_{s}, {none} AS r_{s}, FALSE AS h_{s}" for s in _SLOTS)
+    rows = " UNION ALL ".join(f"SELECT match_id, '{s}' AS slot, t, r_{s}.x AS x, r_{s}.y AS y, r_{s}.conf AS conf FROM w WHERE r_{s} IS NOT NULL" for s in _SLOTS)
+    return f"""WITH RECURSIVE {TR}, dt AS (SELECT match_id, t, row_id AS pos, CASE WHEN slot LIKE 'red%' THEN 'red' ELSE 'blue' END AS colour, CAST(CASE slot WHEN 'red1' THEN 1 WHEN 'red2' THEN 2 WHEN 'blue1' THEN 3 ELSE 4 END + 4 * floor(t / 20) AS BIGINT) AS tid, x_in AS x, y_in AS y, conf FROM tr WHERE conf > 0),
+    fr AS (SELECT match_id, t, list({{'colour': colour, 'tid': tid, 'x': x, 'y': y, 'conf': conf}} ORDER BY pos) AS dets, row_number() OVER (PARTITION BY match_id ORDER BY t) AS i FROM dt GROUP BY match_id, t),
+    n AS (SELECT match_id, count(*) FILTER (WHERE t <= 3) AS early FROM fr GROUP BY match_id),
+    first5 AS (SELECT fr.match_id, fr.t FROM fr JOIN n ON n.match_id = fr.match_id WHERE CASE WHEN early > 0 THEN fr.t <= 3 ELSE i <= 5 END),
+    latest AS (SELECT match_id, tid, arg_max(colour, (t, pos)) AS colour, arg_max(x, (t, pos)) AS x, arg_max(y, (t, pos)) AS y, min((t, pos)) AS k FROM dt JOIN first5 USING (match_id, t) GROUP BY match_id, tid),
+    b0 AS (SELECT DISTINCT match_id FROM dt), {seeds}
+    w AS (SELECT match_id, 0::BIGINT AS i, NULL::DOUBLE AS t, {start} FROM b_blue2
+      UNION ALL SELECT match_id, i, t, {state} FROM ({layers})),
+    h AS (SELECT match_id, CAST(sum(h_red1::INT + h_red2::INT + h_blue1::INT + h_blue2::INT) AS INTEGER) AS switches FROM w GROUP BY match_id)
+    SELECT r.*, h.switches FROM ({rows}) r JOIN h ON h.match_id = r.match_id"""
+
+
+@query(
+    f"""SELECT match_id, CASE WHEN c - least(0.35::DOUBLE, 0.02::DOUBLE * k) < 0 THEN 0 ELSE least(1, c - least(0.35::DOUBLE, 0.02::DOUBLE * k)) END AS quality, k AS switches
+    FROM (SELECT match_id, round(count(*) / (4 * count(DISTINCT t)), 6) AS c, max(switches) AS k FROM ({_slot_sql()}) GROUP BY match_id)"""
+)
+def handoff_quality(spark, d):
+    """Quality of a match's tracks: the share of slots filled, less its hand-offs."""
+    g = tracking.slot_tracks(_detections(spark, d)).groupBy("match_id").agg(F.round(F.count("*") / (4 * F.countDistinct("t")), 6).alias("c"), F.max("switches").alias("k"))
+    return g.select("match_id", tracking.quality(F.col("c"), F.col("k")).alias("quality"), F.col("k").alias("switches"))
+
+
+@query(_slot_sql())
 def slot_tracks(spark, d):
     return tracking.slot_tracks(_detections(spark, d))
 
@@ -390,7 +448,18 @@ def associate_check(spark, d):
     return m.groupBy("match_id").agg(F.count("*").alias("n_boxes"), F.every(F.coalesce(F.col("from") != F.col("frame"), F.lit(True))).alias("once_a_frame"), F.every(F.coalesce((F.col("from") == F.col("before")) & (F.col("step") <= 27), F.lit(True))).alias("within_reach"))
 
 
-@query(None)
+@query(
+    f"""WITH RECURSIVE {TR}, fr AS (SELECT match_id, frame, list({{'pos': pos, 'x': x, 'y': y}} ORDER BY pos) AS dets, row_number() OVER (PARTITION BY match_id ORDER BY frame) AS i
+      FROM (SELECT match_id, CAST(floor(t * 5) AS INTEGER) AS frame, CAST(row_id AS INTEGER) AS pos, x_in AS x, y_in AS y FROM tr WHERE conf > 0) GROUP BY match_id, frame), w AS (
+      SELECT match_id, i, frame, dets, range(1, len(dets) + 1) AS ids, len(dets) + 1 AS fresh FROM fr WHERE i = 1
+      UNION ALL
+      SELECT match_id, i, frame, dets, list_transform(range(1, len(dets) + 1), lambda a: CASE WHEN list_contains(mine, a) THEN last_ids[theirs[list_position(mine, a)]] ELSE fresh - 1 + a - len(list_filter(mine, lambda b: b < a)) END), fresh + len(dets) - len(mine)
+      FROM (SELECT *, coalesce(m.mine, []::BIGINT[]) AS mine, coalesce(m.theirs, []::BIGINT[]) AS theirs FROM (
+        SELECT *, CASE WHEN len(pairs) > 0 THEN list_reduce(list_sort(pairs), lambda acc, p: CASE WHEN list_contains(acc.mine, p.i) OR list_contains(acc.theirs, p.j) THEN acc ELSE {{'d': p.d, 'i': p.i, 'j': p.j, 'mine': list_append(acc.mine, p.i), 'theirs': list_append(acc.theirs, p.j)}} END) END AS m FROM (
+          SELECT fr.match_id, fr.i, fr.frame, fr.dets, w.ids AS last_ids, w.fresh, list_filter(flatten(list_transform(range(1, len(fr.dets) + 1), lambda a: list_transform(range(1, len(w.dets) + 1), lambda b: {{'d': sqrt((fr.dets[a].x - w.dets[b].x) ** 2 + (fr.dets[a].y - w.dets[b].y) ** 2), 'i': a, 'j': b, 'mine': [a], 'theirs': [b]}}))), lambda p: p.d <= 27) AS pairs
+          FROM w JOIN fr ON fr.match_id = w.match_id AND fr.i = w.i + 1))))
+    SELECT match_id, frame, unnest(list_transform(dets, lambda x: x.pos)) AS pos, unnest(ids) AS track_id FROM w"""
+)
 def associate_boxes(spark, d):
     f = _detections(spark, d).withColumn("frame", F.floor(F.col("t") * 5).cast("int"))
     return tracking.associate(f.select("match_id", "frame", "pos", "x", "y"), 18.0)
@@ -442,7 +511,17 @@ def auton_routes(spark, d):
     return rounded(r.select("team", "match_id", "n_points", F.element_at("route", 1)["x"].alias("x0"), F.element_at("route", -1)["x"].alias("x1")))
 
 
-@query(None)
+def _report_sql() -> str:
+    pct = lambda c: f"coalesce(CAST(CAST(round({c} * 100) AS INTEGER) AS VARCHAR), '–') || '%'"
+    cells = {
+        "Matches": "CAST(matches AS VARCHAR)", "Win rate": pct("win_rate") + " || ' (' || decided || ')'", "Mean speed": "format('{:.1f}', speed_mean) || ' in/s'", "Offensive half": pct("frac_offensive_half"),
+        "Near loaders": pct("frac_near_loader"), "Near goals": pct("frac_near_goal"), "Parked at the end": pct("endgame_in_own_park"),
+    }
+    rows = " || ".join(f"'<tr><th>{name}</th><td>' || {v} || '</td></tr>'" for name, v in cells.items())
+    return f"SELECT team, replace(team, '/', '_') || '.html' AS file, '<!doctype html><meta charset=''utf-8''><h1>' || team || '</h1><table>' || {rows} || '</table>' AS html FROM te"
+
+
+@query(_RM + ", te AS (SELECT team, count(*) AS matches, count(won) AS decided, avg(won::INT) AS win_rate, " + ", ".join(f"avg({c}) AS {c}" for c in _TENDS) + " FROM full_rm WHERE team IS NOT NULL GROUP BY team) " + _report_sql())
 def team_reports(spark, d):
     return export.team_reports(features.team_tendencies(_robots(spark, d)))
 
