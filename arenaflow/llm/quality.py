@@ -34,6 +34,8 @@ COMMON_WORDS = {
 }
 # Three-letter tags of these languages.
 LONG_TAGS = {"eng": "en", "deu": "de", "ger": "de", "fra": "fr", "fre": "fr", "spa": "es"}
+# Tags that name no language.
+NO_LANGUAGE = ("und", "mis", "mul", "zxx")
 
 STATS = ["common_ratio", "mean_word_len", "symbol_ratio", "digit_ratio", "bare_ratio", "marked_ratio", "field_ratio", "repeat_ratio", "end_punct_ratio"]
 #: What each statistic is a mean over.
@@ -77,6 +79,7 @@ def text_statistics(df: DataFrame, text: str = "text", doc_id: str = "doc_id", l
     tag = F.lower(F.regexp_extract(F.col(lang).cast("string"), r"^\s*([A-Za-z]{2,3})(?![A-Za-z])", 1)) if lang in df.columns else F.lit("")
     for long, short in LONG_TAGS.items():
         tag = F.when(tag == long, short).otherwise(tag)
+    tag = F.when(~tag.isin(*NO_LANGUAGE), tag)
     d = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(tag, F.lit("")).alias("tag")).where(F.col("text").rlike(r"\S"))
     low = F.lower("text")
     d = d.withColumns({"words": F.regexp_extract_all(low, F.lit(r"[\p{L}\p{M}]+"), F.lit(0)), "lines": F.filter(F.split("text", r"[\r\n]+"), lambda x: x.rlike(r"\S"))})

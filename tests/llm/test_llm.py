@@ -437,7 +437,7 @@ def test_a_further_language_is_judged_by_its_own_documents(spark):
     base = "il comitato si riunisce nella vecchia sala mentre nessuno sapeva cosa direbbe la relazione sul ponte della citta".split()
     text = lambda n: " ".join(rng.choice(base) for _ in range(n)) + "."
     rows = [(k, "it-IT", " ".join(text(14) for _ in range(rng.randrange(2, 8)))) for k in range(150)]
-    rows += [(1000 + k, rng.choice(("en", "eng", "DE", None)), " ".join(rng.choice(PROSE) for _ in range(rng.randrange(2, 8)))) for k in range(300)]
+    rows += [(1000 + k, rng.choice(("en", "eng", "DE", "und", None)), " ".join(rng.choice(PROSE) for _ in range(rng.randrange(2, 8)))) for k in range(300)]
     rows += [(5000, "it", "- uno\n- due\n- tre 3\n- quattro\n- cinque")]
     q = quality.text_quality(spark.createDataFrame(rows, "doc_id long, lang string, text string")).toPandas().set_index("doc_id")
     assert set(q.language[q.index < 150]) == {"it"} and set(q.language[(q.index >= 1000) & (q.index < 5000)]) == {"en"}
