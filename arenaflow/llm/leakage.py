@@ -34,8 +34,8 @@ _WORD = re.compile(r"[^\W_]+")
 
 #: Items that are collected and broadcast at a time; a block is this bound times an item's length.
 ITEMS_PER_BLOCK = 5_000
-#: Located occurrences that are joined or extended at a time.
-HITS_AT_ONCE = 400_000
+#: Located occurrences that are joined at a time, and places that are extended at a time, each of which may have some dozen ways on.
+HITS_AT_ONCE, PLACES_AT_ONCE = 400_000, 100_000
 #: A stretch's moves to its next word, (item words, document words): all right, one altered, one added, one dropped.
 MOVES = ((1, 1), (2, 2), (1, 2), (2, 1))
 
@@ -320,15 +320,16 @@ class _Shard:
         item = items.of[boundary]
         doc = self.doc[where]
         # The same start may come from several pairs.
-        _, part = np.unique(where * len(items.codes) + place, return_index=True)
+        _, once = np.unique(where * len(items.codes) + place, return_index=True)
         text = known[items.codes]
         # Of a stretch of min_words words half at least lie on one side of any of them: a short look both ways drops most of what is chance.
         few = min_words // 2
-        part = part[self._goes_on(text, where[part], place[part], few, 1) | self._goes_on(text, where[part], place[part], few, -1)]
-        n_words = [self._reach(text, items, where[part], place[part], min_words, way) for way in (1, -1)]
-        part = part[n_words[0] + n_words[1] > min_words]
-        for q in part.tolist():
-            out.setdefault((int(doc[q]), int(item[q])), []).append(int(where[q] - self.start[doc[q]]))
+        for part in np.array_split(once, -(-len(once) // PLACES_AT_ONCE)):
+            part = part[self._goes_on(text, where[part], place[part], few, 1) | self._goes_on(text, where[part], place[part], few, -1)]
+            n_words = [self._reach(text, items, where[part], place[part], min_words, way) for way in (1, -1)]
+            part = part[n_words[0] + n_words[1] > min_words]
+            for q in part.tolist():
+                out.setdefault((int(doc[q]), int(item[q])), []).append(int(where[q] - self.start[doc[q]]))
 
     def _goes_on(self, text: np.ndarray, where: np.ndarray, place: np.ndarray, links: int, way: int) -> np.ndarray:
         """Whether so many more words follow each place in the given direction; borders of items and documents are not seen, so some that do not are let through."""
